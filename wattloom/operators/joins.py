@@ -2,7 +2,7 @@
 
 No join here forces a broadcast. Catalyst broadcasts a side whose statistics are below
 ``spark.sql.autoBroadcastJoinThreshold`` and adaptive execution does so once it has measured one;
-beyond that size both sides are shuffled on the key.
+beyond that size both sides are shuffled on the key, and adaptive execution cuts skewed partitions.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ def spread_join(
     """Equi-join (inner or left) where one key may hold much of ``left``.
 
     Each left row goes to one of ``salts`` groups of its key, by a hash of ``spread_by``; the right
-    side is repeated once per group. The result is that of the plain join. ``on`` maps left to right
+    side is repeated once per group (so a broadcast holds at most ``salts`` times the threshold). The result is that of the plain join. ``on`` maps left to right
     column; the names must differ, and the right ones are dropped.
     """
     if how not in ("inner", "left"):

@@ -44,10 +44,17 @@ def dim_panel(dim: DataFrame, panels: DataFrame, now: Column, resolution: str =
     return scd2_apply(dim, source, ["solar_panel_id"], tracked, now, key)
 
 
-def dim_battery(dim: DataFrame, readings: DataFrame, now: Column, resolution: str = "day") -> DataFrame:
-    """Type 2 on the ratings in the newest reading of each battery; key is battery id and date."""
+def dim_battery(
+    dim: DataFrame, readings: DataFrame, now: Column, resolution: str = "day", since: str | None = None,
+) -> DataFrame:
+    """Type 2 on the ratings in the newest reading of each battery; key is battery id and date.
+
+    ``since`` limits the scan to the partitions from that day on. Batteries silent since then keep the
+    version that earlier loads gave them, so use it once the days before have been loaded.
+    """
     tracked = ["capacity_kwh", "max_charge_speed_w", "max_output_w"]
-    rated = readings.select("battery_name", "timestamp", *tracked)
+    recent = readings if since is None else readings.filter(F.col("day") >= F.lit(since).cast("date"))
+    rated = recent.select("battery_name", "timestamp", *tracked)
     source = latest_state(rated, "battery_name").select(
         device_id_from_name(F.col("battery_name")).alias("battery_id"), F.col("battery_name").alias("name"), *tracked
     )

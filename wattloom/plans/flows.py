@@ -74,7 +74,9 @@ def run_raw(lake: Lake, inputs: str, date: str, kind: str) -> dict[str, int]:
     return bad
 
 
-def run_warehouse(lake: Lake, appliances: str | DataFrame, date: str | None, now: str, as_of: bool = False) -> None:
+def run_warehouse(
+    lake: Lake, appliances: str | DataFrame, date: str | None, now: str, as_of: bool = False, battery_since: str | None = None,
+) -> None:
     """Dimensions and facts of one day (None: all days). A second run adds nothing."""
     at = F.lit(now).cast("timestamp")
     listed = read_appliances(lake.spark, appliances) if isinstance(appliances, str) else appliances
@@ -92,7 +94,7 @@ def run_warehouse(lake: Lake, appliances: str | DataFrame, date: str | None, now
     lake.append_fact(solar, "fact_solar_panel_power_readings")
 
     readings = lake.read("battery_readings")
-    lake.write_dim(dims.dim_battery(lake.dim("dim_battery"), readings, at), "dim_battery")
+    lake.write_dim(dims.dim_battery(lake.dim("dim_battery"), readings, at, since=battery_since), "dim_battery")
     battery = facts.fact_battery(
         lake.read("fact_battery_power_readings"), readings, lake.dim("dim_battery"), date, as_of)
     lake.append_fact(battery, "fact_battery_power_readings")

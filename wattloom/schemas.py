@@ -125,8 +125,14 @@ def as_table(df: DataFrame, table: str) -> DataFrame:
     return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[table].schema.fields))
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty frame that the optimizer knows to be empty, so joins with it fold away."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).filter(F.lit(False)).select(*columns)
+
+
 def empty_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], TABLES[table].schema)
+    return no_rows(spark, TABLES[table].schema)
 
 
 def namespace_exists(spark: SparkSession, name: str) -> bool:

@@ -11,10 +11,13 @@ from pyspark.sql import types as T
 from wattloom.functions.energy import watts_to_wh
 from wattloom.functions.timebucket import month_start
 from wattloom.operators.quality import CORRUPT
-from wattloom.schemas import TABLES, as_table, empty_table
+from wattloom.schemas import TABLES, as_table, empty_table, no_rows
 from wattloom.sources.catalogues import LOG_PANEL_ID
 
 
+COMMITS = T.StructType().add("version", T.IntegerType()).add("at", T.TimestampType())
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the tables are. ``root`` is a folder that all executors reach."""
@@ -67,13 +70,13 @@ class Lake:
 
     def _version(self, table: str) -> int:
         # One number from the commit list, which has a row per load.
-        commits = open_table(self.spark, f"{self.path(table)}/commits", "version INT, at TIMESTAMP")
+        commits = open_table(self.spark, f"{self.path(table)}/commits", COMMITS)
         return commits.agg(F.max("version")).first()[0] or 0
 
 
-def open_table(spark: SparkSession, path: str, schema: T.StructType | str, by: tuple[str, ...] = ()) -> DataFrame:
+def open_table(spark: SparkSession, path: str, schema: T.StructType, by: tuple[str, ...] = ()) -> DataFrame:
     """A parquet folder, made first (without rows) when it is not there."""
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*by).parquet(path)
+    no_rows(spark, schema).write.mode("ignore").partitionBy(*by).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Layout of the format.
 HEADER_LINES = 12
-SITE_LINE = 8
+SITE_LINE = 10
 LINES_PER_DAY = 25
 
 

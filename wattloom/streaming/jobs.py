@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -64,10 +65,14 @@ def start_insert_new(
     """Insert-only merge of each micro-batch into a fact folder by month.
 
     The merge itself makes a repeated batch harmless: its keys are already in the target. Keys
-    are unique within a batch when the stream comes from a windowed sum or has its repeats dropped.
+    are unique within a batch when the stream comes from a windowed sum or has its repeats dropped. Only
+    the months that the batch spans are read of the target.
     """
     def load(batch: DataFrame, _: int) -> None:
-        rows = batch.withColumn("month", month_start(F.col(ts)))
-        write_partitioned(insert_new(read_target(), rows, keys), path, ["month"], keys, "append")
+        rows = batch.withColumn("month", month_start(F.col(ts))).persist(StorageLevel.MEMORY_AND_DISK)
+        span = rows.agg(F.min("month").alias("first"), F.max("month").alias("last")).first()
+        target = read_target().filter(F.col("month").between(F.lit(span["first"]), F.lit(span["last"])))
+        write_partitioned(insert_new(target, rows, keys), path, ["month"], keys, "append")
+        rows.unpersist()
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

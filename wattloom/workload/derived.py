@@ -9,6 +9,7 @@ from wattloom.functions.energy import to_sample_energy, watts_to_wh
 from wattloom.functions.predicates import flatten
 from wattloom.operators import generation, resample
 from wattloom.operators.bucketing import sum_per_bucket
+from wattloom.plans import prepare
 from wattloom.sources.climate import parse_clm
 from wattloom.workload.base import APPLIANCES, READINGS, Tables, query
 
@@ -156,16 +157,51 @@ def map_explode(t: Tables) -> DataFrame:
     return flatten(rows, "reading")
 
 
-@query("climate_hours", f"""WITH {READINGS},
-hourly AS (SELECT status AS station, CAST(timestamp AS DATE) AS date, CAST(hour(timestamp) AS INTEGER) + 1 AS hour, CAST(floor(max(generation_power_wh)) AS INTEGER) AS light, CAST(max(capacity_kwh) AS INTEGER) AS t FROM readings GROUP BY ALL),
-days AS (SELECT DISTINCT station, date FROM hourly)
-SELECT d.station, d.date, CAST(h AS INTEGER) AS hour, CAST(coalesce(light, 0) AS DOUBLE) AS solar_intensity, coalesce(t, 0) / 10.0::DOUBLE AS temp
-FROM days d CROSS JOIN unnest(generate_series(1, 24)) AS g(h) LEFT JOIN hourly x ON x.station = d.station AND x.date = d.date AND x.hour = h""")
+CLIMATE = """hourly AS (SELECT status AS station, CAST(timestamp AS DATE) AS date, CAST(hour(timestamp) AS INTEGER) + 1 AS hour, CAST(floor(max(generation_power_wh)) AS INTEGER) AS light, CAST(max(capacity_kwh) AS INTEGER) AS t FROM readings GROUP BY ALL),
+days AS (SELECT DISTINCT station, date FROM hourly),
+climate AS (SELECT d.station, d.date, CAST(h AS INTEGER) AS hour, CAST(coalesce(light, 0) AS DOUBLE) AS solar_intensity, coalesce(t, 0) / 10.0::DOUBLE AS temp
+FROM days d CROSS JOIN unnest(generate_series(1, 24)) AS g(h) LEFT JOIN hourly x ON x.station = d.station AND x.date = d.date AND x.hour = h)"""
+
+
+@query("climate_hours", f"WITH {READINGS}, {CLIMATE} SELECT * FROM climate")
 def climate_hours(t: Tables) -> DataFrame:
     """Readings as one climate text per event type and year, and back."""
     return parse_clm(climate_texts(t))
 
 
+SERIES = """pairs AS (SELECT *, lead(light) OVER w AS nl, lead(temp) OVER w AS nt, epoch_us(lead(timestamp) OVER w) AS b, epoch_us(timestamp) AS a FROM minutes
+  WINDOW w AS (PARTITION BY station, date ORDER BY timestamp)),
+grid AS (SELECT *, unnest(generate_series(a, coalesce(b - 20000000, a), 20000000)) AS g FROM pairs)"""
+
+
+@query("weather_series", f"""WITH {READINGS}, {CLIMATE},
+next AS (SELECT *, lead(solar_intensity) OVER w AS nl, lead(temp) OVER w AS nt, lead(hour) OVER w AS nh FROM climate WINDOW w AS (PARTITION BY station, date ORDER BY hour)),
+minutes AS (SELECT station, date, date + (hour * 60 + m) * INTERVAL '1 minute' AS timestamp, solar_intensity + (nl - solar_intensity) * (m / 60.0::DOUBLE) AS light,
+  temp + (nt - temp) * (m / 60.0::DOUBLE) AS temp FROM next, unnest(generate_series(1, 59)) AS x(m) WHERE nh IS NOT NULL),
+{SERIES}
+SELECT station, date, make_timestamp(g) AS timestamp, CASE WHEN b IS NULL THEN light ELSE light + (nl - light) * ((g - a)::DOUBLE / (b - a)::DOUBLE) END AS solar_intensity,
+  CASE WHEN b IS NULL THEN temp ELSE temp + (nt - temp) * ((g - a)::DOUBLE / (b - a)::DOUBLE) END AS temp FROM grid""")
+def weather_series(t: Tables) -> DataFrame:
+    """Climate texts to minutes, and to a value every 20 seconds."""
+    return prepare.weather_series(parse_clm(climate_texts(t)), step_us=20_000_000)
+
+
+@query("home_series", f"""WITH {APPLIANCES},
+ranges AS (SELECT home_key, min_consumption_power_wh AS lo, unnest(string_split(usage_time, ',')) AS r FROM appliances),
+spans AS (SELECT home_key, lo, CAST(r[1:2] AS INTEGER) AS a, CAST(r[7:8] AS INTEGER) + CASE WHEN CAST(r[10:11] AS INTEGER) > 0 THEN 1 ELSE 0 END AS b FROM ranges),
+hours AS (SELECT home_key, lo, unnest(generate_series(a, b - 1)) AS h FROM spans),
+load AS (SELECT home_key, h, sum(lo) / 60.0::DOUBLE AS v FROM hours WHERE h > 0 GROUP BY home_key, h),
+stamped AS (SELECT home_key, v, epoch_us(d + (h * 60 + CASE WHEN h = 23 THEN 59 ELSE 0 END) * INTERVAL '1 minute') AS a, CAST(d AS DATE) AS date
+  FROM load, (VALUES (TIMESTAMP '2024-01-01'), (TIMESTAMP '2024-01-02')) AS days(d)),
+pairs AS (SELECT *, lead(a) OVER w AS b, lead(v) OVER w AS nv FROM stamped WINDOW w AS (PARTITION BY home_key, date ORDER BY a)),
+grid AS (SELECT *, unnest(generate_series(a, coalesce(b - 60000000, a), 60000000)) AS g FROM pairs)
+SELECT home_key, date, make_timestamp(g) AS timestamp, round(CASE WHEN b IS NULL THEN v ELSE v + (nv - v) * ((g - a)::DOUBLE / (b - a)::DOUBLE) END, 6) AS min_consumption_wh FROM grid""")
+def home_series(t: Tables) -> DataFrame:
+    """Two days of load by minute in every home."""
+    series = prepare.home_series(t.appliances(), "2024-01-01", "2024-01-02", ["home_key"], step_us=60_000_000)
+    return series.select("home_key", "date", "timestamp", F.round("min_consumption_wh", 6).alias("min_consumption_wh"))
+
+
 def climate_texts(t: Tables) -> DataFrame:
     hourly = hourly_max(t, "status").select(
         F.col("status").alias("station"), F.to_date("timestamp").alias("date"), (F.hour("timestamp") + 1).alias("hour"),
@@ -176,7 +212,7 @@ def climate_texts(t: Tables) -> DataFrame:
     days = hourly.groupBy("station", "date").agg(F.map_from_entries(F.collect_list(F.struct("hour", "line"))).alias("by_hour")).select(
         "station", "date", F.year("date").alias("year"), F.concat_ws("\n", head, F.concat_ws("\n", filled)).alias("block")
     )
-    header = F.concat_ws("\n", F.array_repeat(F.lit("#"), 8), F.concat(F.lit(" "), F.col("year").cast("string"), F.lit(",0,0,0")), F.array_repeat(F.lit("#"), 3))
+    header = F.concat_ws("\n", F.array_repeat(F.lit("#"), 10), F.concat(F.lit(" "), F.col("year").cast("string"), F.lit(",0,0,0")), F.lit("#"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("date", "block"))), lambda d: d["block"])
     years = days.groupBy("station", "year").agg(ordered.alias("blocks"))
     return years.select("station", F.concat_ws("\n", header, F.concat_ws("\n", "blocks")).alias("value"))

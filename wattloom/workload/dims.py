@@ -10,7 +10,7 @@ from wattloom.functions.predicates import current, select_as
 from wattloom.operators import analytics, quality, scd2
 from wattloom.operators.merge import changelog, changelog_of_versions
 from wattloom.plans import dims
-from wattloom.schemas import as_table, empty_table
+from wattloom.schemas import as_table, empty_table, no_rows
 from wattloom.workload.base import APPLIANCES, DEVICES, INCOMING, NOW, READINGS, Tables, query
 from wattloom.workload.facts import at
 
@@ -79,7 +79,7 @@ def changelog_versions(t: Tables) -> DataFrame:
     v1 = t.devices()
     v2 = scd2.scd2_close(v1, t.incoming(), ["device_id"], ["balance"], at(NOW))
     cols = ["device_key", "name", "current_flag"]
-    empty = t.spark.createDataFrame([], v1.schema).select(*cols)
+    empty = no_rows(t.spark, v1.schema).select(*cols)
     return changelog_of_versions([empty, v1.select(*cols), v2.select(*cols), current(v2).select(*cols)], ["device_key"])
 
 

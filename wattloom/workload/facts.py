@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from wattloom.functions.predicates import current, select_as
 from wattloom.operators import bucketing, joins, merge, scd2
 from wattloom.plans import dims, facts
-from wattloom.schemas import empty_table
+from wattloom.schemas import no_rows
+from wattloom.sinks.tables import Lake
 from wattloom.workload.base import APPLIANCES, DEVICES, LOADED_UNTIL, NOW, READINGS, Tables, query
 
 
@@ -32,9 +33,11 @@ def battery_dim(t: Tables) -> DataFrame:
 
 
 def one_home(t: Tables) -> DataFrame:
-    """All appliances in one household."""
+    """All appliances in one household, as a stored dimension."""
+    lake = Lake(t.spark, t.scratch("lake"))
     all_in_one = t.appliances().withColumn("home_key", F.lit(1))
-    return dims.dim_home(empty_table(t.spark, "dim_home"), all_in_one, at(NOW))
+    lake.write_dim(dims.dim_home(lake.dim("dim_home"), all_in_one, at(NOW)), "dim_home")
+    return lake.dim("dim_home")
 
 
 def rounded(df: DataFrame, *cols: str) -> DataFrame:
@@ -182,7 +185,7 @@ SELECT panel_id, bucket, round(wh, 4) AS generation_power_wh FROM staged""")
 def insert_new_idempotent(t: Tables) -> DataFrame:
     """A second run of the same load adds nothing."""
     rows, keys = rounded(bucketing.solar_15m(t.readings()), "generation_power_wh"), ["panel_id", "bucket"]
-    once = merge.insert_new(t.spark.createDataFrame([], rows.schema), rows, keys)
+    once = merge.insert_new(no_rows(t.spark, rows.schema), rows, keys)
     return once.unionByName(merge.insert_new(once, rows, keys))
 
 

@@ -93,17 +93,18 @@ def corrupt_lines(t: Tables) -> DataFrame:
     return split_corrupt(src.read_home_log(t.spark, path, keep_corrupt=True))[1].select(CORRUPT, "time_stamp")
 
 
-@query("appliance_documents", """SELECT p_size AS home_key, CAST(row_number() OVER (PARTITION BY p_size, p_brand, p_type ORDER BY p_partkey) AS INTEGER) AS home_appliance_key,
+@query("appliance_documents", """SELECT CAST(floor(p_partkey / 10.0) AS BIGINT) AS home_key, CAST(row_number() OVER (PARTITION BY floor(p_partkey / 10.0) ORDER BY p_partkey) AS INTEGER) AS home_appliance_key,
   'part ' || p_partkey AS appliance, p_retailprice AS min_consumption_power_wh, p_retailprice * 2 AS max_consumption_power_wh, '00:00-24:00' AS usage_time FROM part""")
 def appliance_documents(t: Tables) -> DataFrame:
-    """One JSON document per size, brand and type, with an entry per part in key order."""
+    """One JSON document per ten part keys, with an entry per part in key order."""
     entry = F.struct(
         F.concat(F.lit("part "), F.col("p_partkey").cast("string")).alias("key"),
         F.struct(F.array("p_retailprice", F.col("p_retailprice") * 2).alias("consumption"), F.lit("00:00-24:00").alias("time")).alias("value"),
     )
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", entry.alias("e")))), lambda x: x["e"])
-    documents = t["part"].groupBy("p_size", "p_brand", "p_type").agg(F.to_json(F.map_from_entries(ordered)).alias("value"))
-    return parse_appliances(documents, home_key="p_size")
+    home = F.floor(F.col("p_partkey") / 10).alias("home_key")
+    documents = t["part"].groupBy(home).agg(F.to_json(F.map_from_entries(ordered)).alias("value"))
+    return parse_appliances(documents, home_key="home_key")
 
 
 @query("csv_by_interval", f"""WITH {READINGS} SELECT event_id, generation_power_wh, CAST(interval_15m AS INTEGER) AS interval_15m FROM readings""")

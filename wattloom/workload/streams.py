@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattloom.sinks.tables import open_table
 from wattloom.streaming import jobs
@@ -69,7 +70,7 @@ def stream_ingest_batteries(t: Tables) -> DataFrame:
 def stream_insert_new(t: Tables) -> DataFrame:
     """The same stream from its start twice, as after a lost checkpoint: the second run adds nothing."""
     out = t.scratch("facts")
-    schema = "event_id BIGINT, date_key TIMESTAMP, generation_power_wh DOUBLE, month DATE"
+    schema = T.StructType.fromDDL("event_id BIGINT, date_key TIMESTAMP, generation_power_wh DOUBLE, month DATE")
     target = lambda: open_table(t.spark, out, schema, ("month",))
     rows = event_stream(t).select("event_id", F.col("timestamp").alias("date_key"), "generation_power_wh")
     for _ in range(2):
