@@ -190,16 +190,17 @@ def weather_series(t: Tables) -> DataFrame:
 ranges AS (SELECT home_key, min_consumption_power_wh AS lo, unnest(string_split(usage_time, ',')) AS r FROM appliances),
 spans AS (SELECT home_key, lo, CAST(r[1:2] AS INTEGER) AS a, CAST(r[7:8] AS INTEGER) + CASE WHEN CAST(r[10:11] AS INTEGER) > 0 THEN 1 ELSE 0 END AS b FROM ranges),
 hours AS (SELECT home_key, lo, unnest(generate_series(a, b - 1)) AS h FROM spans),
-load AS (SELECT home_key, h, sum(lo) / 60.0::DOUBLE AS v FROM hours WHERE h > 0 GROUP BY home_key, h),
+load AS (SELECT home_key, h, sum(floor(lo)) / 60.0::DOUBLE AS v FROM hours WHERE h > 0 GROUP BY home_key, h),
 stamped AS (SELECT home_key, v, epoch_us(d + (h * 60 + CASE WHEN h = 23 THEN 59 ELSE 0 END) * INTERVAL '1 minute') AS a, CAST(d AS DATE) AS date
   FROM load, (VALUES (TIMESTAMP '2024-01-01'), (TIMESTAMP '2024-01-02')) AS days(d)),
 pairs AS (SELECT *, lead(a) OVER w AS b, lead(v) OVER w AS nv FROM stamped WINDOW w AS (PARTITION BY home_key, date ORDER BY a)),
 grid AS (SELECT *, unnest(generate_series(a, coalesce(b - 60000000, a), 60000000)) AS g FROM pairs)
-SELECT home_key, date, make_timestamp(g) AS timestamp, round(CASE WHEN b IS NULL THEN v ELSE v + (nv - v) * ((g - a)::DOUBLE / (b - a)::DOUBLE) END, 6) AS min_consumption_wh FROM grid""")
+SELECT home_key, date, make_timestamp(g) AS timestamp, CASE WHEN b IS NULL THEN v ELSE v + (nv - v) * ((g - a)::DOUBLE / (b - a)::DOUBLE) END AS min_consumption_wh FROM grid""")
 def home_series(t: Tables) -> DataFrame:
-    """Two days of load by minute in every home."""
-    series = prepare.home_series(t.appliances(), "2024-01-01", "2024-01-02", ["home_key"], step_us=60_000_000)
-    return series.select("home_key", "date", "timestamp", F.round("min_consumption_wh", 6).alias("min_consumption_wh"))
+    """Two days of load by minute in every home; whole ratings, so that sums are exact."""
+    whole = t.appliances().withColumn("min_consumption_power_wh", F.floor("min_consumption_power_wh").cast("double"))
+    series = prepare.home_series(whole, "2024-01-01", "2024-01-02", ["home_key"], step_us=60_000_000)
+    return series.select("home_key", "date", "timestamp", "min_consumption_wh")
 
 
 def climate_texts(t: Tables) -> DataFrame:
