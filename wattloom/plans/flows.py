@@ -23,14 +23,15 @@ HOME_SITE = 1
 def load_checked(lake: Lake, df: DataFrame, table: str, label: str, append: Callable[[DataFrame], None]) -> int:
     """Append the rows that fit the table; the number of those that do not.
 
-    A NULL in a required column (as a torn log line leaves) or text over its limit keeps a row out.
+    A torn log line, a NULL in a required column or text over its limit keeps a row out.
     Such rows are counted while the good ones are written, and only if there are any is the input read
     again to put them below ``quarantine`` with the reason.
     """
     spec = TABLES[table]
     required = [c for c in spec.required if c in df.columns]
     limits = {c: n for c, n in spec.text_limits.items() if c in df.columns}
-    tagged = df.withColumn("reason", F.concat_ws(";", null_report(required), *length_report(limits)))
+    torn = [F.when(F.col(CORRUPT).isNotNull(), "line does not parse")] if CORRUPT in df.columns else []
+    tagged = df.withColumn("reason", F.concat_ws(";", *torn, null_report(required), *length_report(limits)))
     bad = F.col("reason") != ""
 
     seen = Observation()
