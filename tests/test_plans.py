@@ -41,6 +41,12 @@ def test_sums_are_partial_before_the_shuffle(spark, name):
     assert "partial_" in text and text.index("partial_") > text.index("Exchange hashpartitioning")
 
 
-def test_last_per_bucket_needs_one_shuffle_and_no_window(spark):
+def test_last_per_bucket_is_limited_before_its_one_shuffle(spark):
     text = plan(spark, "last_per_bucket")
-    assert text.count("Exchange hashpartitioning") == 1 and "Window" not in text
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.index("Final") < text.index("Exchange hashpartitioning") < text.index("Partial")
+
+
+def test_newest_of_numbers_is_a_hash_aggregation(spark):
+    text = plan(spark, "dim_battery")
+    assert "partial_max_by" in text and "SortAggregate" not in text.split("partial_max_by")[0].splitlines()[-1]

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattloom.functions.timebucket import QUARTER_US, bucket_start, on_day
 
@@ -32,12 +33,28 @@ def solar_15m(readings: DataFrame, date: str | None = None, ts: str = "timestamp
     return sum_per_bucket(readings, ["panel_id"], {"generation_power_wh": "generation_power_wh"}, ts, date)
 
 
-def _newest(readings: DataFrame, by: list, ts: str, tie_break: list[str]) -> DataFrame:
-    """Newest row of each group. ``max`` of (time, tie-break, rest) keeps one row per group and
-    task before the shuffle and never sorts or holds a group."""
-    rest = [c for c in readings.columns if c not in (ts, *tie_break)]
-    newest = F.max(F.struct(ts, *tie_break, *rest)).alias("_row")
-    return readings.groupBy(*by).agg(newest)
+# Types whose values an aggregation buffer can overwrite in place.
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _newest(readings: DataFrame, by: dict[str, Column], ts: str, tie_break: list[str]) -> DataFrame:
+    """Newest row of each group, with the group columns.
+
+    Either way one row per group and task goes into the shuffle, so a device with a third of all
+    readings is no heavier than another. Without text columns ``max_by`` runs as a hash aggregation and
+    nothing is sorted; it takes one of the rows that tie in ``ts``. Text columns, or a ``tie_break``, need a
+    sort: row number 1 per group, which Spark limits before the shuffle; ties then go by ``tie_break`` or
+    by a hash of the row.
+    """
+    rest = [c for c in readings.columns if c not in by]
+    types = {f.name: f.dataType for f in readings.schema.fields}
+    if not tie_break and all(isinstance(types[c], FIXED_WIDTH) for c in rest):
+        return readings.withColumns(by).groupBy(*by).agg(*(F.max_by(c, ts).alias(c) for c in rest))
+
+    tie = [F.col(c) for c in tie_break] or [F.xxhash64(*readings.columns)]
+    last = Window.partitionBy(*by).orderBy(F.col(ts).desc(), *(c.desc() for c in tie))
+    ranked = readings.withColumns(by).withColumn("_rn", F.row_number().over(last))
+    return ranked.filter("_rn = 1").drop("_rn")
 
 
 def last_per_bucket(
@@ -46,16 +63,15 @@ def last_per_bucket(
 ) -> DataFrame:
     """Last reading of each (bucket, device), with its ``bucket``."""
     day = on_day(readings, date, ts)
-    by = [bucket_start(F.col(ts)).alias("bucket"), F.col(device).alias("_device")]
-    return _newest(day, by, ts, tie_break or []).select("bucket", "_row.*").select("bucket", *day.columns)
+    by = {device: F.col(device), "bucket": bucket_start(F.col(ts))}
+    return _newest(day, by, ts, tie_break or []).select("bucket", *day.columns)
 
 
 def latest_state(
     readings: DataFrame, device: str, ts: str = "timestamp", tie_break: list[str] | None = None,
 ) -> DataFrame:
     """Newest reading of every device."""
-    rows = _newest(readings, [F.col(device).alias("_device")], ts, tie_break or [])
-    return rows.select("_row.*").select(*readings.columns)
+    return _newest(readings, {device: F.col(device)}, ts, tie_break or []).select(*readings.columns)
 
 
 def latest_n(readings: DataFrame, n: int, ts: str = "timestamp", tie_break: list[str] | None = None) -> DataFrame:

@@ -30,7 +30,7 @@ class Tables:
     def readings(self) -> DataFrame:
         """Events with the columns of home, solar and battery readings."""
         ts = F.col("ts").cast("timestamp")
-        k = F.from_json("props", "k INT")["k"]
+        k = F.regexp_extract("props", r"(\d+)", 1)
         return self["events"].select(
             "event_id", ts.alias("timestamp"), interval_15m(ts).alias("interval_15m"),
             F.col("user_id").cast("int").alias("panel_id"),
