@@ -20,6 +20,8 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
+        # Hours and days follow the session zone; the tables' timestamps have none.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

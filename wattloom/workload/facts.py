@@ -115,9 +115,12 @@ merged AS (
 SELECT coalesce(d.device_key, -1) AS battery_key, m.bucket AS date_key, m.panel_id AS battery_id, m.current_energy_wh, m.is_charging, m.status
 FROM merged m LEFT JOIN devices d ON d.device_id = m.panel_id AND d.current_flag""")
 def battery_fact_15m(t: Tables) -> DataFrame:
-    readings, dim, tie = t.readings(), battery_dim(t), ["event_id"]
-    target = facts.battery_rows(loaded(readings), dim, tie_break=tie)
-    return known(target.unionByName(facts.fact_battery(target, readings, dim, tie_break=tie)), "battery_key")
+    """Two loads into a stored table; the second finds the keys of the first."""
+    readings, dim, tie, name = t.readings(), battery_dim(t), ["event_id"], "fact_battery_power_readings"
+    lake = Lake(t.spark, t.scratch("lake"))
+    lake.append_fact(facts.battery_rows(loaded(readings), dim, tie_break=tie), name)
+    lake.append_fact(facts.fact_battery(lake.read(name), readings, dim, tie_break=tie), name)
+    return known(lake.read(name).drop("month"), "battery_key")
 
 
 @query("last_per_bucket", f"""WITH {READINGS}, {LAST}

@@ -13,9 +13,9 @@ from wattloom.workload.files import F4, battery_log, doubled, power_log, write_j
 
 
 def event_stream(t: Tables, copies: int = 1) -> DataFrame:
-    """The events file as a stream."""
+    """The events file, or folder of files, as a stream."""
     schema = t["events"].schema
-    stream = t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
+    stream = t.spark.readStream.schema(schema).parquet(f"{t.folder}/events*.parquet")
     rows = stream.select(
         "event_id", F.col("ts").cast("timestamp").alias("timestamp"), F.col("user_id").cast("int").alias("panel_id"),
         F.col("value").alias("generation_power_wh"),
