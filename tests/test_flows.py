@@ -143,3 +143,15 @@ def test_retention_prunes_partitions(lake):
     kept = sinks.retain_days(lake.read("home_power_readings"), 7, DAY)
     assert kept.select("day").distinct().count() == 7
     assert "day" in kept._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_command_line(spark, inputs, tmp_path, capsys):
+    from wattloom.__main__ import main
+
+    root = str(tmp_path / "cli")
+    main(["raw", "--root", root, "--inputs", str(inputs), "--date", DAY, "--kind", "log"])
+    assert "battery_readings: 1 rows in quarantine" in capsys.readouterr().out
+    main(["warehouse", "--root", root, "--appliances", str(inputs / "appliances.json"), "--date", DAY, "--now", NOW, "--as-of"])
+    facts = sinks.Lake(spark, root).read("fact_battery_power_readings")
+    # The version starts after the readings, so none was valid at their time.
+    assert facts.count() == 144 and facts.filter("battery_key IS NOT NULL").count() == 0
