@@ -37,7 +37,7 @@ def load_checked(lake: Lake, df: DataFrame, table: str, label: str, append: Call
     seen = Observation()
     good = tagged.observe(seen, F.count_if(bad).alias("bad")).filter(~bad)
     append(good.drop("reason", CORRUPT))
-    n = seen.get["bad"]
+    n = seen.get.get("bad") or 0
     if n:
         tagged.filter(bad).write.mode("overwrite").parquet(f"{lake.root.rstrip('/')}/quarantine/{table}/{label}")
     return n
