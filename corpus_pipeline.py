@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from wattloom.llm import ngram_join  # noqa: F401
+from wattloom.llm import ngram_join, packing  # noqa: F401
 from wattloom.llm.base import ORACLE, QUERIES  # noqa: F401
