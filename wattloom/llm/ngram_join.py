@@ -89,12 +89,13 @@ def _fold(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pack(x: np.ndarray) -> bytes:
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : LOW // 8].tobytes()
+    """The low ``LOW`` bits of each number, byte plane by byte plane: sorted numbers then compress."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : LOW // 8].T.tobytes()
 
 
 def _unpack(b: bytes) -> np.ndarray:
     out = np.zeros((len(b) * 8 // LOW, 8), np.uint8)
-    out[:, : LOW // 8] = np.frombuffer(b, np.uint8).reshape(-1, LOW // 8)
+    out[:, : LOW // 8] = np.frombuffer(b, np.uint8).reshape(LOW // 8, -1).T
     return out.view("<u8").ravel()
 
 
@@ -129,31 +130,28 @@ def shared_lists(docs: DataFrame, often: np.ndarray, postings: int, bucket_posti
             if hot.any():  # their place in the order is known: back to their documents by way of any bucket
                 out.append((int((batch >> 8) % buckets), batch, 2, who[hot].tobytes(), (bucket[hot] << LOW | low[hot].astype(np.int64)).tobytes(), b""))
                 bucket, low, who = bucket[~hot], low[~hot], who[~hot]
-            order = np.argsort(bucket, kind="stable")
+            order = np.lexsort((low, bucket))
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            names = keys.view(np.uint64)
             for k in np.flatnonzero(np.diff(cuts)):
                 at = order[cuts[k] : cuts[k + 1]]
-                there, place = np.unique(who[at], return_inverse=True)
-                wide = np.uint16 if len(there) < 65536 else np.uint32
-                out.append((int(k), batch, 1 if wide is np.uint16 else 3, _pack(low[at]), place.astype(wide).tobytes(), there.astype("<u4").tobytes() + keys[there].tobytes()))
+                # Of the class's key, as many bits as of a shingle: enough to know it again in another batch.
+                out.append((int(k), batch, 1, _pack(low[at]), who[at].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), _pack(names[who[at]])))
             for i in range(0, len(out), 64):
                 yield _rows(out[i : i + 64])
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         """One bucket: classes per shingle; back go those with two or more, to the first batch that holds the class."""
         through = pdf[pdf.kind.isin([0, 2])]
-        mine = pdf[pdf.kind.isin([1, 3])]
+        mine = pdf[pdf.kind == 1]
         if mine.empty:
             return through
         low, key, batch, doc = [], [], [], []
         for r in mine.itertuples():
-            place = np.frombuffer(r.b, np.uint16 if r.kind == 1 else np.uint32)
-            m = len(r.c) // 12
-            there, keys = np.frombuffer(r.c[: 4 * m], "<u4"), np.frombuffer(r.c[4 * m :], np.int64)
             low.append(_unpack(r.a))
-            key.append(keys[place])
-            doc.append(there[place])
-            batch.append(np.full(len(place), r.batch, np.int64))
+            key.append(_unpack(r.c))
+            doc.append(np.ascontiguousarray(np.frombuffer(r.b, np.uint8).reshape(4, -1).T).view("<u4").ravel())
+            batch.append(np.full(len(low[-1]), r.batch, np.int64))
         low, key, batch, doc = map(np.concatenate, (low, key, batch, doc))
         order = np.lexsort((batch, key, low))
         low, key, batch, doc = low[order], key[order], batch[order], doc[order]
@@ -276,6 +274,9 @@ def search(lists: DataFrame, placed: DataFrame, chunk_postings: int = 2_000_000,
         stored(placed.join(lists, "key"), "members").join(cuts, "block").withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")), "chunks")
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([one(part) for _, part in pdf.groupby(["block", "chunk"])])
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("key").sort_values(["n", "key"])
         group = pdf.group.to_numpy() if "group" in pdf else None
         if group is not None:
@@ -285,11 +286,17 @@ def search(lists: DataFrame, placed: DataFrame, chunk_postings: int = 2_000_000,
         best = pd.Series(keys).groupby(comp).transform("min").to_numpy()
         return pd.DataFrame({"src": keys, "dst": best})
 
+    def linked(parts: DataFrame) -> DataFrame:
+        """Many small chunks in one group, a large one among few."""
+        binned = parts.withColumn("bin", F.pmod(F.xxhash64("block", "chunk"), F.lit(bins)))
+        return stored(binned.groupBy("bin").applyInPandas(link, "src long, dst long"), "links")
+
     own = members.select("block", "chunk", "key", "n", "ids")
+    bins = max(1, (weights.agg(F.sum("w")).first()[0] or 0) // (chunk_postings // 4))
     many = members.filter("chunks > 1")
     share = many.filter(F.pmod(F.xxhash64(F.col("key"), F.lit(7)), F.greatest(F.lit(1), (F.col("members") / pivots).cast("int"))) == 0)
     shared = share.select("block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "key", "n", "ids")
-    local = stored(own.union(shared).groupBy("block", "chunk").applyInPandas(link, "src long, dst long"), "links")
+    local = linked(own.union(shared))
     if cuts.filter("chunks > 1").isEmpty():
         return local.withColumnsRenamed({"src": "key", "dst": "component"})
     first = components(local)
@@ -300,7 +307,7 @@ def search(lists: DataFrame, placed: DataFrame, chunk_postings: int = 2_000_000,
     asks = known.join(largest, "block").filter("component <> largest")
     asks = asks.select("block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "key", "n", "ids", F.col("component").alias("group"))
     rest = known.select("block", "chunk", "key", "n", "ids", F.col("component").alias("group"))
-    across = stored(rest.union(asks).groupBy("block", "chunk").applyInPandas(link, "src long, dst long"), "links")
+    across = linked(rest.union(asks))
     return components(local.union(across)).withColumnsRenamed({"node": "key"})
 
 
