@@ -39,7 +39,7 @@ LOW = 40  # bits of a shingle's hash inside its bucket
 COMMON = np.int64(1) << 40  # list length that stands for a heavy shingle
 
 
-def _texts(batches: Iterator[pa.RecordBatch], size: int = 8 << 20):
+def _texts(batches: Iterator[pa.RecordBatch], size: int = 4 << 20):
     """Ids and texts of each batch, in groups of about ``size`` characters."""
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -114,7 +114,7 @@ def shared_lists(docs: DataFrame, often: np.ndarray, postings: int, bucket_posti
     buckets = max(8, postings // bucket_postings)
 
     def post(batches):
-        for _, texts in _texts(batches, 24 << 20):
+        for _, texts in _texts(batches, 6 << 20):
             once = {}
             for s in shingle_sets(texts, WIDTH):
                 if len(s):
