@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from wattloom.llm import decontaminate, ngram_join, packing, toxicity  # noqa: F401
+from wattloom.llm import decontaminate, ngram_join, packing, secrets, toxicity  # noqa: F401
 from wattloom.llm.base import ORACLE, QUERIES  # noqa: F401
