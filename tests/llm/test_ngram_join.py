@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from wattloom.llm.ngram_join import ngram_classes
+from wattloom.llm.ngram_join import ngram_classes, one_of_each
 
 
 def shingles(text):
@@ -54,6 +54,17 @@ def test_components_equal_brute_force(spark, seed, bucket, chunk):
     assert sorted(got, key=repr) == brute(rows)
 
 
+def test_one_row_of_each_component(spark):
+    rows = corpus(4)
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, mark string").repartition(3)
+    got = one_of_each(docs)
+    assert got.columns == docs.columns
+    blank = [r for r in rows if not shingles(r[1])]
+    first = {c for _, n, c in brute(rows) if n}
+    assert sorted((r.doc_id for r in got.collect() if shingles(r.text)), key=repr) == sorted(first, key=repr)
+    assert sorted((r.doc_id for r in got.collect() if not shingles(r.text)), key=repr) == sorted((d for d, _ in blank), key=repr)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
-    assert ngram_classes(docs).count() == 0
+    assert ngram_classes(docs).count() == 0 and one_of_each(docs).count() == 0

@@ -5,8 +5,8 @@ by length; the ``n - T + 1`` shortest are merged, and whatever occurs there is l
 search, until T is reached or out of reach. Four steps keep this distributed:
 
 1. ``shingle_table``: size and digest of every set. Equal sets are one class from here on.
-2. ``shared_lists``: list lengths. Shingles go by hash to buckets as packed arrays, a bucket counts classes per
-   shingle, and only shingles with two or more classes come back. A class that has more shingles of its own than
+2. ``shared_lists``: list lengths. Shingles go by hash to buckets as packed arrays, a bucket counts sets per
+   shingle, and only shingles with two or more come back. A class that has more shingles of its own than
    ``n - T`` has no partner and ends here. Shingles of a hundredth of all documents go to buckets by document
    instead, as their place in the order (last) is known from step 1; that list is bounded, see ``heavy``.
 3. ``blocks``: classes with a short list in common are connected; partners are always in one block.
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,15 +41,15 @@ COMMON = np.int64(1) << 40  # list length that stands for a heavy shingle
 
 
 def _texts(batches: Iterator[pa.RecordBatch], size: int = 4 << 20):
-    """Ids and texts of each batch, in groups of about ``size`` characters."""
+    """Texts (the first column) of each batch in groups of about ``size`` characters, and the group's other columns."""
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        a = held = 0
-        for b, t in enumerate(texts, 1):
-            held += len(t or "")
-            if held >= size or b == len(texts):
-                yield ids[a:b], texts[a:b]
-                a, held = b, 0
+        sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False))
+        a = 0
+        while a < len(batch):
+            b = max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + size)))
+            part = batch.slice(a, b - a)
+            yield part.columns[1:], part.column(0).to_pylist()
+            a = b
 
 
 def needed(n):
@@ -57,21 +58,22 @@ def needed(n):
 
 
 def shingle_table(docs: DataFrame) -> DataFrame:
-    """Rows of documents (``doc_id``, ``n``, ``key``; no key without words) and, with NULL ``n``, shingles (``key``) that
-    are frequent in some batch, with their number of documents there (``doc_id``)."""
+    """Rows of documents (``doc_id``, ``mark``: hash of the text, ``n``, ``key``; no key without words) and, with NULL ``n``,
+    shingles (``key``) that are frequent in some batch, with their number of documents there (``doc_id``)."""
     def sets(batches):
-        for ids, texts in _texts(batches):
+        for (ids, marks), texts in _texts(batches):
             found = shingle_sets(texts, WIDTH)
             keys = [set_key(s) if len(s) else None for s in found]
             once = {k: s for k, s in zip(keys, found, strict=True) if k is not None}
             h, c = np.unique(np.concatenate([*once.values(), np.empty(0, np.uint64)]), return_counts=True)
             often = c >= max(8, 0.02 * len(once))
+            none = [None] * int(often.sum())
             yield pa.RecordBatch.from_arrays([
-                pa.array([*ids, *c[often].tolist()], pa.int64()),
-                pa.array([*map(len, found), *[None] * int(often.sum())], pa.int64()),
-                pa.array([*keys, *h[often].view(np.int64).tolist()], pa.int64())], ["doc_id", "n", "key"])
+                pa.array([*ids.to_pylist(), *c[often].tolist()], pa.int64()), pa.array([*marks.to_pylist(), *none], pa.int64()),
+                pa.array([*map(len, found), *none], pa.int64()), pa.array([*keys, *h[often].view(np.int64).tolist()], pa.int64()),
+            ], ["doc_id", "mark", "n", "key"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sets, "doc_id long, n long, key long")
+    return docs.select("text", F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark")).mapInArrow(sets, "doc_id long, mark long, n long, key long")
 
 
 def heavy(made: DataFrame) -> np.ndarray:
@@ -88,14 +90,14 @@ def _fold(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return ((h >> np.uint64(LOW)) % np.uint64(buckets)).astype(np.int64), h & np.uint64((1 << LOW) - 1)
 
 
-def _pack(x: np.ndarray) -> bytes:
-    """The low ``LOW`` bits of each number, byte plane by byte plane: sorted numbers then compress."""
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : LOW // 8].T.tobytes()
+def _pack(x: np.ndarray, size: int) -> bytes:
+    """The low ``size`` bytes of each number, byte plane by byte plane: sorted or small numbers then compress."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T.tobytes()
 
 
-def _unpack(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) * 8 // LOW, 8), np.uint8)
-    out[:, : LOW // 8] = np.frombuffer(b, np.uint8).reshape(LOW // 8, -1).T
+def _unpack(b: bytes, size: int) -> np.ndarray:
+    out = np.zeros((len(b) // size, 8), np.uint8)
+    out[:, :size] = np.frombuffer(b, np.uint8).reshape(size, -1).T
     return out.view("<u8").ravel()
 
 
@@ -132,32 +134,24 @@ def shared_lists(docs: DataFrame, often: np.ndarray, postings: int, bucket_posti
                 bucket, low, who = bucket[~hot], low[~hot], who[~hot]
             order = np.lexsort((low, bucket))
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            names = keys.view(np.uint64)
             for k in np.flatnonzero(np.diff(cuts)):
                 at = order[cuts[k] : cuts[k + 1]]
-                # Of the class's key, as many bits as of a shingle: enough to know it again in another batch.
-                out.append((int(k), batch, 1, _pack(low[at]), who[at].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), _pack(names[who[at]])))
+                out.append((int(k), batch, 1, _pack(low[at], LOW // 8), _pack(who[at], 4), b""))
             for i in range(0, len(out), 64):
                 yield _rows(out[i : i + 64])
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        """One bucket: classes per shingle; back go those with two or more, to the first batch that holds the class."""
+        """One bucket: sets per shingle; back go those with two or more. A class in several batches counts in each, which
+        only makes its lists look longer."""
         through = pdf[pdf.kind.isin([0, 2])]
         mine = pdf[pdf.kind == 1]
         if mine.empty:
             return through
-        low, key, batch, doc = [], [], [], []
-        for r in mine.itertuples():
-            low.append(_unpack(r.a))
-            key.append(_unpack(r.c))
-            doc.append(np.ascontiguousarray(np.frombuffer(r.b, np.uint8).reshape(4, -1).T).view("<u4").ravel())
-            batch.append(np.full(len(low[-1]), r.batch, np.int64))
-        low, key, batch, doc = map(np.concatenate, (low, key, batch, doc))
-        order = np.lexsort((batch, key, low))
-        low, key, batch, doc = low[order], key[order], batch[order], doc[order]
-        first = np.ones(len(low), bool)
-        first[1:] = (low[1:] != low[:-1]) | (key[1:] != key[:-1])
-        low, batch, doc = low[first], batch[first], doc[first]
+        low = np.concatenate([_unpack(x, LOW // 8) for x in mine.a])
+        doc = np.concatenate([_unpack(x, 4) for x in mine.b]).astype(np.uint32)
+        batch = np.repeat(mine.batch.to_numpy(), [len(x) // 4 for x in mine.b])
+        order = np.argsort(low, kind="stable")
+        low, batch, doc = low[order], batch[order], doc[order]
         head = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
         size = np.diff(np.r_[head, len(low)])
         size = np.repeat(size, size)
@@ -169,25 +163,28 @@ def shared_lists(docs: DataFrame, often: np.ndarray, postings: int, bucket_posti
         out = []
         for a, b in zip(heads, [*heads[1:], len(order)], strict=True) if len(heads) else []:
             at = order[a:b]
-            out.append((k, int(batch[at[0]]), 1, doc[at].astype("<u4").tobytes(), (np.int64(k) << LOW | low[at].astype(np.int64)).tobytes(), np.minimum(size[at], 2**31 - 1).astype("<i4").tobytes()))
+            out.append((k, int(batch[at[0]]), 1, _pack(doc[at], 4), _pack(low[at], LOW // 8), _pack(np.minimum(size[at], 2**31 - 1), 4)))
         return pd.concat([through, pd.DataFrame(out, columns=list(through.columns))])
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         """One batch: for each class its shared shingles in order, if there are enough of them."""
         table_rows = pdf[pdf.kind == 0]
         keys, sizes = np.frombuffer(table_rows.a.iloc[0], np.int64), np.frombuffer(table_rows.b.iloc[0], np.int64)
-        doc, ids, size = [np.empty(0, np.uint32)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        seen_hot = False
+        doc, ids, size = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for r in pdf.itertuples():
-            if r.kind == 0 or (r.kind == 2 and seen_hot):
-                continue
-            seen_hot |= r.kind == 2
-            doc.append(np.frombuffer(r.a, "<u4"))
-            ids.append(np.frombuffer(r.b, np.int64))
-            size.append(np.full(len(ids[-1]), COMMON) if r.kind == 2 else np.frombuffer(r.c, "<i4").astype(np.int64))
+            if r.kind == 1:
+                doc.append(_unpack(r.a, 4).astype(np.int64))
+                ids.append(np.int64(r.bucket) << LOW | _unpack(r.b, LOW // 8).astype(np.int64))
+                size.append(_unpack(r.c, 4).astype(np.int64))
+            elif r.kind == 2:
+                doc.append(np.frombuffer(r.a, "<u4").astype(np.int64))
+                ids.append(np.frombuffer(r.b, np.int64))
+                size.append(np.full(len(ids[-1]), COMMON))
         doc, ids, size = map(np.concatenate, (doc, ids, size))
         order = np.lexsort((ids, size, doc))
         doc, ids = doc[order], ids[order]
+        once = np.r_[True, (doc[1:] != doc[:-1]) | (ids[1:] != ids[:-1])] if len(doc) else []
+        doc, ids = doc[once], ids[once]  # two batches of the same classes have one number
         cuts = np.searchsorted(doc, np.arange(len(keys) + 1))
         out = []
         for i, (key, n) in enumerate(zip(keys.tolist(), sizes.tolist(), strict=True)):
@@ -196,10 +193,10 @@ def shared_lists(docs: DataFrame, often: np.ndarray, postings: int, bucket_posti
                 out.append((key, n, ids[cuts[i] : cuts[i + 1]], shared - needed(n) + 1))
         return pd.DataFrame(out, columns=["key", "n", "ids", "short"])
 
-    posted = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(post, _PACKED)
+    posted = docs.select("text").mapInArrow(post, _PACKED)
     counted = posted.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(count, _PACKED)
     found = counted.groupBy("batch").applyInPandas(gather, "key long, n long, ids array<long>, short int")
-    # A class without list lengths in a batch that is not its first has no shared shingle there, heavy ones apart.
+    # A class in several batches comes from each, with the same lists.
     best = found.groupBy("key").agg(F.max_by(F.struct("n", "ids", "short"), F.size("ids")).alias("x"))
     return best.select("key", "x.*")
 
@@ -311,25 +308,40 @@ def search(lists: DataFrame, placed: DataFrame, chunk_postings: int = 2_000_000,
     return components(local.union(across)).withColumnsRenamed({"node": "key"})
 
 
+def classed(docs: DataFrame, bucket_postings: int = 1_000_000, chunk_postings: int = 2_000_000) -> DataFrame:
+    """Stored table of ``doc_id``, ``mark`` (hash of the text), ``n``, ``root`` (equal within a component, NULL without shingles)."""
+    made = stored(shingle_table(docs), "shingles")
+    rows = made.filter("n IS NOT NULL")
+    postings = rows.agg(F.sum("n")).first()[0] or 0
+    lists = stored(shared_lists(docs, heavy(made), postings, bucket_postings), "lists")
+    roots = stored(search(lists, stored(blocks(lists), "blocks"), chunk_postings), "roots")
+    root = F.coalesce("component", "key").alias("root")
+    return stored(rows.join(roots, "key", "left").select("doc_id", "mark", "n", root), "classed")
+
+
 def ngram_classes(docs: DataFrame, bucket_postings: int = 1_000_000, chunk_postings: int = 2_000_000) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` for every row of ``docs`` (``doc_id``, ``text``; other columns are not read).
 
     NULL, empty and blank texts have no shingles and a component of their own. Rows that repeat are
     rows of the result each; a row without ``doc_id`` is linked like the others and never names a component that has an id.
     """
-    made = stored(shingle_table(docs), "shingles")
-    rows = made.filter("n IS NOT NULL")
-    postings = rows.agg(F.sum("n")).first()[0] or 0
-    lists = stored(shared_lists(docs, heavy(made), postings, bucket_postings), "lists")
-    found = search(lists, stored(blocks(lists), "blocks"), chunk_postings)
-    roots = stored(found, "roots")
-    root = F.coalesce("component", "key").alias("root")
-    classed = stored(rows.join(roots, "key", "left").select("doc_id", "n", root), "classed")
-    least = stored(classed.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
-    return classed.join(least, "root", "left").select(
+    rows = classed(docs, bucket_postings, chunk_postings)
+    least = stored(rows.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
+    return rows.join(least, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of every component, that of the smallest ``doc_id``, with all columns; texts without shingles all stay."""
+    rows = classed(docs)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("r")
+    keep = rows.filter("root IS NOT NULL").groupBy("root").agg(first).select(F.col("r.doc_id").alias("__id"), F.col("r.mark").alias("__mark"))
+    marked = docs.withColumn("__at", F.xxhash64("text"))
+    blank = F.coalesce(F.col("text"), F.lit("")).rlike(r"^[\x20\x09-\x0D]*\z")
+    hit = marked.filter(~blank).join(stored(keep, "keep"), F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__at") == F.col("__mark")))
+    return hit.dropDuplicates(["__id", "__mark"]).select(*docs.columns).union(docs.filter(blank))
+
+
 @query("op2_ngram_jaccard_join")
 def op2(spark, folder):
     return ngram_classes(table(spark, folder, "documents"))
