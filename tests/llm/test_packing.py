@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from wattloom.llm.packing import Encoder, complete, packed, piece_bounds, sequences, tokenizer_file
 
 ODD = ["", None, " ", "\n", "a\nb", "a \n b", "  two  spaces ", "tab\tx y", "it's we'll  don't", "é ü x y\x1cz", "end ", "\r\n a", "<|endoftext|> a <|endoftext|>",
-       "x" * 5000, "123 456,789 a1b2", "日本 語　文", "🙂 🙂🙂\n🙂", "a\n\nb\n c", " lead"]
+       "x" * 5000, "123 456,789 a1b2", "日本 語　文", "🙂 🙂🙂\n🙂", "a\n\nb\n c", " lead", "end. Next, 5. x.. y., é. ß, ².", "a <|endoftext|> b", "\x01 a"]
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,7 @@ def test_words_encode_like_whole_texts(spark, model):
 
 
 @settings(deadline=None, max_examples=150)
-@given(st.text(alphabet="ab' \n\t.1é　s\x1c", max_size=30))
+@given(st.text(alphabet="ab' \n\t.,1é　s\x1c\x01ª", max_size=30))
 def test_any_white_space(text):
     model = test_any_white_space.model = getattr(test_any_white_space, "model", None) or Encoder(tokenizer_file())
     assert np.frombuffer(next(model.encode([text])), "<u4").tolist() == model.model.encode(text, add_special_tokens=False).ids

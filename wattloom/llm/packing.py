@@ -17,6 +17,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -27,15 +28,18 @@ from pyspark.sql import functions as F
 from wattloom.llm.base import query, stored, table
 
 CAPACITY = 2048
-CACHE = 400_000  # words per worker
-UNEVEN = re.compile(r"[^\S \n]|[ \n]{2}|^[ \n]|[ \n]\Z")  # white space that is not one space or line feed between words
+CACHE = 1_000_000  # words per worker
+# White space besides single spaces and line feeds between words.
+ODD = [" " * 2, " \n", "\n ", "\n" * 2, *map(chr, [1, 9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])]
+STOP = re.compile(r"[.,](?<=[A-Za-zÀ-ÖØ-öø-ÿ][.,])(?=[ \n]|\Z)")
 
 
 class Encoder:
     """Token ids of texts as packed little-endian numbers, from a ``tokenizers`` file.
 
-    The byte-level pattern never joins characters over a single space (or line feed) between two other characters, so texts
-    are cut there and words are looked up; only new ones are encoded. Any other white space stays inside its cut.
+    The byte-level pattern never joins characters over a single space (or line feed) between two other characters, nor a
+    letter and a full stop or comma. Texts are cut there and the cuts are looked up; new ones are encoded,
+    those with a space in front many at a time. Any other white space stays inside its cut.
     """
 
     def __init__(self, file: str) -> None:
@@ -44,36 +48,48 @@ class Encoder:
         self.model, self.known = Tokenizer.from_file(file), {}
 
     def cuts(self, text: str) -> list[str]:
-        out: list[str] = []
-        if not UNEVEN.search(text):
-            for i, line in enumerate(text.split("\n")):
-                words = line.split(" ")
-                if i:
-                    out.append("\n")
-                out.append(words[0])
-                out += [" " + w for w in words[1:]]
-            return out
+        if not text:
+            return []
+        if text[0] not in " \n" and text[-1] not in " \n" and not any(o in text for o in ODD):
+            return STOP.sub("\1\\g<0>", text).replace(" ", "\1 ").replace("\n", "\1\n\1").split("\1")
+        out = []
         for i, part in enumerate(re.split(r"(?<=\S) (?=\S)", text)):
             whole = re.split(r"(?<=\S)(\n)(?=\S)", part)
             whole[0] = (" " if i else "") + whole[0]
             out += whole
         return out
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            cuts = self.cuts(text)
-            new = [w for w in set(cuts) if w not in self.known] if cuts else []
-            if new:
+    def learn(self, new: list[str]) -> None:
+        joined = [w for w in new if w[0] == " " and not w[1:2].isspace() and not w[-1].isspace() and "<|" not in w]
+        for a in range(0, len(joined), 2000):
+            part = joined[a : a + 2000]
+            starts = np.cumsum([0, *map(len, part)])
+            got = self.model.encode("".join(part), add_special_tokens=False)
+            at = np.fromiter(map(itemgetter(0), got.offsets), np.int64)
+            cut = (4 * np.searchsorted(at, starts)).tolist()
+            ids = np.array(got.ids, "<u4").tobytes()
+            self.known.update(zip(part, map(ids.__getitem__, map(slice, cut[:-1], cut[1:])), strict=True))
+        rest = list(set(new).difference(joined))
+        for a in range(0, len(rest), 4096):
+            part = rest[a : a + 4096]
+            for w, e in zip(part, self.model.encode_batch(part, add_special_tokens=False), strict=True):
+                self.known[w] = np.array(e.ids, "<u4").tobytes()
+
+    def encode(self, texts: list[str], group: int = 1 << 20) -> Iterator[bytes]:
+        part, held = [], 0
+        for n, text in enumerate(texts, 1):
+            part.append(self.cuts(text))
+            held += len(text)
+            if held >= group or n == len(texts):
+                new = set().union(*part).difference(self.known)
                 if len(self.known) + len(new) > CACHE:
-                    self.known = {}
-                    new = list(set(cuts))
-                for a in range(0, len(new), 4096):
-                    part = new[a : a + 4096]
-                    for w, e in zip(part, self.model.encode_batch(part, add_special_tokens=False), strict=True):
-                        self.known[w] = np.array(e.ids, "<u4").tobytes()
-            yield b"".join(map(self.known.__getitem__, cuts))
-            if len(self.known) > CACHE:
-                self.known = {}
+                    self.known, new = {}, set().union(*part)
+                self.known[""] = b""
+                new.discard("")
+                self.learn(list(new))
+                for cuts in part:
+                    yield b"".join(map(self.known.__getitem__, cuts))
+                part, held = [], 0
 
 
 def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
