@@ -22,6 +22,7 @@ from itertools import product
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -263,6 +264,18 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """Rows of ``docs`` that score below ``threshold``; columns as they were."""
+    grammar = fit(docs, labels.filter(crc_mod(4) != 2))
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            yield batch.filter(pa.array([grammar.score(t) < threshold for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 @query("op7_toxicity")
 def op7(spark, folder):
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
