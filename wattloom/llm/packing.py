@@ -17,7 +17,6 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -63,10 +62,8 @@ class Encoder:
         joined = [w for w in new if w[0] == " " and not w[1:2].isspace() and not w[-1].isspace() and "<|" not in w]
         for a in range(0, len(joined), 2000):
             part = joined[a : a + 2000]
-            starts = np.cumsum([0, *map(len, part)])
-            got = self.model.encode("".join(part), add_special_tokens=False)
-            at = np.fromiter(map(itemgetter(0), got.offsets), np.int64)
-            cut = (4 * np.searchsorted(at, starts)).tolist()
+            got = self.model.encode(part, is_pretokenized=True, add_special_tokens=False)
+            cut = (4 * np.searchsorted(np.array(got.word_ids), np.arange(len(part) + 1))).tolist()
             ids = np.array(got.ids, "<u4").tobytes()
             self.known.update(zip(part, map(ids.__getitem__, map(slice, cut[:-1], cut[1:])), strict=True))
         rest = list(set(new).difference(joined))
@@ -75,7 +72,7 @@ class Encoder:
             for w, e in zip(part, self.model.encode_batch(part, add_special_tokens=False), strict=True):
                 self.known[w] = np.array(e.ids, "<u4").tobytes()
 
-    def encode(self, texts: list[str], group: int = 1 << 20) -> Iterator[bytes]:
+    def encode(self, texts: list[str], group: int = 4 << 20) -> Iterator[bytes]:
         part, held = [], 0
         for n, text in enumerate(texts, 1):
             part.append(self.cuts(text))
