@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import decontaminate, embedding_dedup, html_extraction, ngram_join, packing, secrets, toxicity
+from wattloom.llm import decontaminate, embedding_dedup, html_extraction, ngram_join, packing, quality, secrets, toxicity
 from wattloom.llm.base import ORACLE, QUERIES, query, stored, table
 
 # Models and tokens are no part of SQL; the pipeline is tested against a plain version instead.

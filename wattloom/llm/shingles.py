@@ -16,8 +16,8 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def word_hashes(buf: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of each word of ``buf``. Words are read eight bytes at a time, all words together."""
+def word_hashes(buf: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of each word of ``buf``. Words are read eight bytes at a time, all words together."""
     raw = np.frombuffer(buf + b" " * 8, np.uint8)
     inside = ~SPACE[raw]
     edge = np.flatnonzero(np.diff(inside, prepend=False))
@@ -33,7 +33,7 @@ def word_hashes(buf: bytes) -> tuple[np.ndarray, np.ndarray]:
         left[on] -= size
         more = left[on] > 0
         on, at = on[more], at[more] + 8
-    return start, h
+    return start, end, h
 
 
 def shingle_sets(texts: list[str | None], width: int = 5) -> list[np.ndarray]:
@@ -44,7 +44,7 @@ def shingle_sets(texts: list[str | None], width: int = 5) -> list[np.ndarray]:
     """
     raw = [b"" if t is None else t.encode("utf-8", "surrogatepass").lower() for t in texts]
     ends = np.cumsum([len(r) + 1 for r in raw])
-    start, h = word_hashes(b"\n".join(raw) + b"\n")
+    start, _, h = word_hashes(b"\n".join(raw) + b"\n")
     first = np.searchsorted(start, np.concatenate([[0], ends]))
     count = np.diff(first)
     rolled = h[: max(0, len(h) - width + 1)].copy()
