@@ -153,5 +153,62 @@ def test_command_line(spark, inputs, tmp_path, capsys):
     assert "battery_readings: 1 rows in quarantine" in capsys.readouterr().out
     main(["warehouse", "--root", root, "--appliances", str(inputs / "appliances.json"), "--date", DAY, "--now", NOW, "--as-of"])
     facts = sinks.Lake(spark, root).read("fact_battery_power_readings")
-    # The version starts after the readings, so none was valid at their time.
-    assert facts.count() == 144 and facts.filter("battery_key IS NOT NULL").count() == 0
+    # The first version holds from the beginning, so every reading has one.
+    assert facts.count() == 144 and facts.filter("battery_key IS NULL").count() == 0
+    main(["calendar", "--root", root, "--first", f"{DAY} 00:00:00", "--last", f"{DAY} 23:45:00"])
+    assert sinks.Lake(spark, root).dim("dim_date").count() == 96
+    main(["retain", "--root", root, "--before", NEXT])
+    assert sinks.Lake(spark, root).read("battery_readings").count() == 0
+
+
+def test_prepared_inputs_load(spark, lake, tmp_path):
+    from wattloom.plans.prepare import write_inputs
+
+    header = [f"line {i}" for i in range(12)]
+    header[10] = "2013,0,0"
+    day = ["* day 1 month 1", *[f"0,{100 + h},{h * 10},0,0,50" for h in range(24)]]
+    day[5] = "torn, line"
+    (tmp_path / "climate.clm").write_text("\n".join(header + day) + "\n")
+    (tmp_path / "list.json").write_text(json.dumps({"Fridge": {"consumption": [300, 1500], "time": "00:00-24:00"}}))
+    lost = write_inputs(spark, str(tmp_path / "in"), str(tmp_path / "climate.clm"), str(tmp_path / "list.json"), "2013-01-01", "2013-01-01", 60_000_000)
+    assert lost == 1
+    assert sum(run_raw(lake, str(tmp_path / "in"), "2013-01-01", "file").values()) == 0
+    assert lake.read("home_power_readings").count() > 1000 and lake.read("solar_panel_readings").count() > 3000
+
+
+def test_late_samples_stay_with_their_load(spark, lake, inputs):
+    run_raw(lake, str(inputs), DAY, "log")
+    log = inputs / "log" / f"home_{NEXT}.log"
+    write_logs(inputs, NEXT, torn=False)
+    late = json.dumps({"time_stamp": f"{DAY} 23:59:59", "current_consumption_w": 7.0, "consumption_accumulated_w": 1.0})
+    log.write_text(late + "\n" + log.read_text())
+    for _ in range(2):
+        run_raw(lake, str(inputs), NEXT, "log")
+    days = dict(map(tuple, lake.read("home_power_readings").groupBy(F.col("day").cast("string")).count().collect()))
+    assert days == {DAY: 97, NEXT: 96}
+    # The file is mended and empty now: its load goes, the other stays.
+    log.write_text("")
+    run_raw(lake, str(inputs), NEXT, "log")
+    assert lake.read("home_power_readings").count() == 96
+
+
+def test_quarantine_follows_its_source(spark, lake, inputs):
+    run_raw(lake, str(inputs), DAY, "log")
+    where = f"{lake.root}/quarantine/battery_readings/log-{DAY}"
+    assert sinks.exists(spark, where)
+    write_logs(inputs, DAY, torn=False)
+    assert set(run_raw(lake, str(inputs), DAY, "log").values()) == {0} and not sinks.exists(spark, where)
+
+
+def test_a_battery_without_number_waits_in_quarantine(spark, lake, inputs):
+    log = inputs / "log" / f"battery_{DAY}.log"
+    log.write_text(log.read_text() + json.dumps({"time_stamp": f"{DAY} 01:00:00", "batteries": {"spare": battery(1)}}) + "\n")
+    assert run_raw(lake, str(inputs), DAY, "log")["battery_readings"] == 2
+    assert run_warehouse(lake, str(inputs / "appliances.json"), DAY, NOW)["fact_battery_power_readings"] == 0
+    assert counts(lake)["fact_battery_power_readings"] == 144
+
+
+def test_facts_of_unknown_panels_wait(spark, lake, inputs):
+    run_raw(lake, str(inputs), DAY, "log", panel_id=9)
+    bad = run_warehouse(lake, str(inputs / "appliances.json"), DAY, NOW)
+    assert bad["fact_solar_panel_power_readings"] == 72 and counts(lake)["fact_solar_panel_power_readings"] == 0

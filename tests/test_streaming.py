@@ -42,7 +42,7 @@ def test_repeats_are_dropped(spark, tmp_path):
 
 def test_insert_new_reads_only_the_months_of_the_batch(spark, tmp_path):
     path, table = str(tmp_path / "fact"), TABLES["fact_solar_panel_power_readings"]
-    target = lambda: open_table(spark, path, table.schema, table.partitions)
+    target = lambda: open_table(spark, path, table.schema)
     keys = ["solar_panel_id", "date_key"]
 
     def run(name):

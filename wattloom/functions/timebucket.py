@@ -40,14 +40,18 @@ def bucket_start_from_text(ts: Column) -> Column:
     return text.try_cast("timestamp")
 
 
-def on_day(df: DataFrame, date: str | None, ts: str = "ts", day: str = "day") -> DataFrame:
-    """Rows of one calendar day; all rows when ``date`` is None.
+def on_day(df: DataFrame, date: str | list[str] | None, ts: str = "ts", day: str = "day") -> DataFrame:
+    """Rows of one calendar day, or of any of several; all rows when ``date`` is None.
 
     The date comparison becomes a range on ``ts`` and reaches the parquet reader. It does not
     prune a materialised ``day`` partition column, so that column is compared as well when present.
     """
     if date is None:
         return df
+    if not isinstance(date, str):
+        wanted = [F.lit(d).cast("date") for d in date]
+        keep = F.to_date(F.col(ts)).isin(*wanted)
+        return df.filter(F.col(day).isin(*wanted) & keep if day in df.columns else keep)
     wanted = F.lit(date).cast("date")
     keep = F.to_date(F.col(ts)) == wanted
     if day in df.columns:

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wattloom.functions.timebucket import QUARTER_US, bucket_start, on_day
 
 
 def sum_per_bucket(
     readings: DataFrame, by: list[str], sums: dict[str, str], ts: str = "ts",
-    date: str | None = None, width_us: int = QUARTER_US,
+    date: str | list[str] | None = None, width_us: int = QUARTER_US,
 ) -> DataFrame:
     """Sum columns (``{output: input}``) per device and bucket, for one day or all.
 
@@ -24,34 +23,23 @@ def sum_per_bucket(
     )
 
 
-def home_15m(readings: DataFrame, date: str | None = None, by: tuple[str, ...] = (), ts: str = "timestamp") -> DataFrame:
+def home_15m(readings: DataFrame, date: str | list[str] | None = None, by: tuple[str, ...] = (), ts: str = "timestamp") -> DataFrame:
     sums = {"min_consumption_power_wh": "min_consumption_wh", "max_consumption_power_wh": "max_consumption_wh"}
     return sum_per_bucket(readings, list(by), sums, ts, date)
 
 
-def solar_15m(readings: DataFrame, date: str | None = None, ts: str = "timestamp") -> DataFrame:
+def solar_15m(readings: DataFrame, date: str | list[str] | None = None, ts: str = "timestamp") -> DataFrame:
     return sum_per_bucket(readings, ["panel_id"], {"generation_power_wh": "generation_power_wh"}, ts, date)
 
 
-# Types whose values an aggregation buffer can overwrite in place.
-FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
-
-
 def _newest(readings: DataFrame, by: dict[str, Column], ts: str, tie_break: list[str]) -> DataFrame:
     """Newest row of each group, with the group columns.
 
-    Either way one row per group and task goes into the shuffle, so a device with a third of all
-    readings is no heavier than another. Without text columns ``max_by`` runs as a hash aggregation and
-    nothing is sorted; it takes one of the rows that tie in ``ts``. Text columns, or a ``tie_break``, need a
-    sort: row number 1 per group, which Spark limits before the shuffle; ties then go by ``tie_break`` or
-    by a hash of the row.
+    One rule for all types: row number 1 per group, by time, then ``tie_break``, then a hash of the whole row, so the result
+    does not depend on the order of arrival. Spark limits row numbers before the shuffle: one row per group and task goes into
+    it, and a device with a third of all readings is no heavier than another.
     """
-    rest = [c for c in readings.columns if c not in by]
-    types = {f.name: f.dataType for f in readings.schema.fields}
-    if not tie_break and all(isinstance(types[c], FIXED_WIDTH) for c in rest):
-        return readings.withColumns(by).groupBy(*by).agg(*(F.max_by(c, ts).alias(c) for c in rest))
-
-    tie = [F.col(c) for c in tie_break] or [F.xxhash64(*readings.columns)]
+    tie = [*(F.col(c) for c in tie_break), F.xxhash64(*readings.columns)]
     last = Window.partitionBy(*by).orderBy(F.col(ts).desc(), *(c.desc() for c in tie))
     ranked = readings.withColumns(by).withColumn("_rn", F.row_number().over(last))
     return ranked.filter("_rn = 1").drop("_rn")
@@ -59,7 +47,7 @@ def _newest(readings: DataFrame, by: dict[str, Column], ts: str, tie_break: list
 
 def last_per_bucket(
     readings: DataFrame, device: str, ts: str = "timestamp", tie_break: list[str] | None = None,
-    date: str | None = None,
+    date: str | list[str] | None = None,
 ) -> DataFrame:
     """Last reading of each (bucket, device), with its ``bucket``."""
     day = on_day(readings, date, ts)

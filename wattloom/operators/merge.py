@@ -67,28 +67,23 @@ def update_where(df: DataFrame, condition: Column, assignments: dict[str, Column
 
 
 def changelog(before: DataFrame, after: DataFrame, id_cols: list[str], ordinal: int = 0) -> DataFrame:
-    """Row changes between two versions of a table, keyed by ``id_cols`` (unique in each version).
+    """Row changes between two versions of a table, keyed by ``id_cols``.
 
-    One INSERT or DELETE row, or an UPDATE_BEFORE and an UPDATE_AFTER row, per changed id.
+    Rows that both versions hold, as often in the one as in the other, are no change. Of what is left, an id with one
+    row before and one after gives an UPDATE_BEFORE and an UPDATE_AFTER row; otherwise rows are a DELETE or an INSERT each. An
+    id may repeat: versions of one business key are not mixed up, and no row meets all others of its id.
     """
-    values = [c for c in after.columns if c not in id_cols]
-    b = before.withColumn("_b", F.lit(True)).alias("b")
-    a = after.withColumn("_a", F.lit(True)).alias("a")
-    joined = b.join(a, _same_keys(id_cols, "b", "a"), "full_outer")
-
-    image = lambda side: [F.col(f"{side}.{c}").alias(c) for c in after.columns]
-    both = F.col("_b").isNotNull() & F.col("_a").isNotNull()
-    differs = changed("b", "a", values, null_safe=True) if values else F.lit(False)
-
-    def event(old: str, only: Column, side: str, kind: str) -> Column:
-        label = F.when(only, F.lit(old)).otherwise(F.lit(kind)).alias("_change_type")
-        return F.when(only | (both & differs), F.struct(*image(side), label))
-
-    events = F.array_compact(F.array(
-        event("DELETE", F.col("_a").isNull(), "b", "UPDATE_BEFORE"),
-        event("INSERT", F.col("_b").isNull(), "a", "UPDATE_AFTER"),
-    ))
-    return joined.select(F.inline(events)).withColumn("_change_ordinal", F.lit(ordinal))
+    cols = after.columns
+    sided = before.select(*cols, F.lit(-1).alias("_n")).unionByName(after.select(*cols, F.lit(1).alias("_n")))
+    left = sided.groupBy(*cols).agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+    names = {c: f"_id_{i}" for i, c in enumerate(id_cols)}
+    gone, come = F.sum(F.greatest(F.lit(0), -F.col("_n"))), F.sum(F.greatest(F.lit(0), F.col("_n")))
+    ids = left.groupBy(*(F.col(c).alias(n) for c, n in names.items())).agg(((gone == 1) & (come == 1)).alias("_pair"))
+    joined = left.join(ids, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    old, new = F.when(F.col("_pair"), "UPDATE_BEFORE").otherwise("DELETE"), F.when(F.col("_pair"), "UPDATE_AFTER").otherwise("INSERT")
+    copies = F.explode(F.sequence(F.lit(1), F.abs("_n"))).alias("_copy")
+    rows = joined.select(*cols, F.when(F.col("_n") < 0, old).otherwise(new).alias("_change_type"), copies)
+    return rows.drop("_copy").withColumn("_change_ordinal", F.lit(ordinal))
 
 
 def changelog_of_versions(versions: list[DataFrame], id_cols: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from wattloom.functions.timebucket import micros
 
 HOUR_US = 3_600_000_000
 BLOCK_STEPS = 1000
+TASK_STEPS = 1_000_000
 
 
 def align_to_grid(df: DataFrame, ts: str, cols: list[str], step_us: int, part_by: list[str]) -> DataFrame:
@@ -73,7 +74,8 @@ def upsample_linear(
 
     Windows run on the sparse input only; the dense rows come from two nested explodes, first into
     blocks of steps, then into steps, and stay in their task from there on. Adaptive execution sizes
-    tasks by the sparse input, so the blocks are dealt out anew to ``spread`` tasks.
+    tasks by the sparse input, so the blocks are dealt out anew, to ``spread`` tasks or else to one for every
+    ``TASK_STEPS`` steps, which one sum over the sparse side counts.
     """
     part_by = part_by or []
     sparse = align_to_grid(df, ts, cols, step_us, part_by)
@@ -84,7 +86,8 @@ def upsample_linear(
     blocks = segments.withColumn("_stop", stop).withColumn(
         "_block", F.explode(F.sequence(F.col("slot"), F.col("_stop"), F.lit(block_us)))
     )
-    tasks = spread or 2 * df.sparkSession.sparkContext.defaultParallelism
+    steps = F.sum((stop - F.col("slot")) / F.lit(step_us) + 1)
+    tasks = spread or int(segments.agg(steps).first()[0] or 0) // TASK_STEPS + 1
     blocks = blocks.repartition(tasks, *part_by, "_block")
     last_step = F.least(F.col("_block") + F.lit(block_us - step_us), F.col("_stop"))
     dense = blocks.withColumn("_g", F.explode(F.sequence(F.col("_block"), last_step, F.lit(step_us))))

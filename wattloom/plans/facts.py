@@ -16,21 +16,27 @@ from wattloom.operators.merge import insert_new, replace_matching
 from wattloom.operators.scd2 import scd2_as_of_join
 
 
-def one_month(target: DataFrame, date: str | None) -> DataFrame:
-    """The target partitions that a load of ``date`` can touch."""
+Days = str | list[str] | None
+
+
+def one_month(target: DataFrame, date: Days) -> DataFrame:
+    """The target partitions that a load of ``date`` (a day, or several) can touch."""
     if date is None or "month" not in target.columns:
         return target
-    return target.filter(F.col("month") == F.trunc(F.lit(date).cast("date"), "month"))
+    days = [date] if isinstance(date, str) else date
+    months = sorted({f"{d[:7]}-01" for d in days})
+    return target.filter(F.col("month").isin(*[F.lit(m).cast("date") for m in months]))
 
 
 def _keyed(staged: DataFrame, dim: DataFrame, on: dict[str, str], key: str, as_of: bool) -> DataFrame:
-    """Surrogate key of the current version, or of the version valid at the bucket."""
+    """Surrogate key of the current version, or of the version valid at the bucket. The first version of a device counts
+    from the beginning of time: it is loaded after the first readings. A device that the dimension lacks has no key."""
     if not as_of:
         return attach_current_key(staged, dim, on, key)
-    return scd2_as_of_join(staged, dim, on, "bucket", [key])
+    return scd2_as_of_join(staged, dim, on, "bucket", [key], from_start=True)
 
 
-def home_rows(readings: DataFrame, dim_home: DataFrame, date: str | None = None) -> DataFrame:
+def home_rows(readings: DataFrame, dim_home: DataFrame, date: Days = None) -> DataFrame:
     """Staged home facts of one household, whose key is the one current row of the dimension."""
     home_key: Column = current(dim_home).select("home_key").scalar()
     return home_15m(readings, date).select(
@@ -39,7 +45,7 @@ def home_rows(readings: DataFrame, dim_home: DataFrame, date: str | None = None)
     )
 
 
-def solar_rows(readings: DataFrame, dim_panel: DataFrame, date: str | None = None, as_of: bool = False) -> DataFrame:
+def solar_rows(readings: DataFrame, dim_panel: DataFrame, date: Days = None, as_of: bool = False) -> DataFrame:
     staged = _keyed(solar_15m(readings, date), dim_panel, {"panel_id": "solar_panel_id"}, "solar_panel_key", as_of)
     return staged.select(
         "solar_panel_key", F.col("bucket").alias("date_key"),
@@ -48,7 +54,7 @@ def solar_rows(readings: DataFrame, dim_panel: DataFrame, date: str | None = Non
 
 
 def battery_rows(
-    readings: DataFrame, dim_battery: DataFrame, date: str | None = None, as_of: bool = False,
+    readings: DataFrame, dim_battery: DataFrame, date: Days = None, as_of: bool = False,
     tie_break: list[str] | None = None,
 ) -> DataFrame:
     """State at the end of each bucket."""
@@ -61,19 +67,19 @@ def battery_rows(
     )
 
 
-def fact_home(target: DataFrame, readings: DataFrame, dim_home: DataFrame, date: str | None = None) -> DataFrame:
+def fact_home(target: DataFrame, readings: DataFrame, dim_home: DataFrame, date: Days = None) -> DataFrame:
     return insert_new(one_month(target, date), home_rows(readings, dim_home, date), ["home_power_reading_key"])
 
 
 def fact_solar(
-    target: DataFrame, readings: DataFrame, dim_panel: DataFrame, date: str | None = None, as_of: bool = False,
+    target: DataFrame, readings: DataFrame, dim_panel: DataFrame, date: Days = None, as_of: bool = False,
 ) -> DataFrame:
     rows = solar_rows(readings, dim_panel, date, as_of)
     return insert_new(one_month(target, date), rows, ["solar_panel_id", "date_key"])
 
 
 def fact_battery(
-    target: DataFrame, readings: DataFrame, dim_battery: DataFrame, date: str | None = None,
+    target: DataFrame, readings: DataFrame, dim_battery: DataFrame, date: Days = None,
     as_of: bool = False, tie_break: list[str] | None = None,
 ) -> DataFrame:
     rows = battery_rows(readings, dim_battery, date, as_of, tie_break)

@@ -55,13 +55,13 @@ class Table:
 
 # Table and column names and types of the two layers. Surrogate keys are BIGINT
 # and sums DOUBLE, so that keys of id and date do not overflow and sums keep their digits.
-# Raw tables are split by day and source, facts by month; `day`, `source`, `month` are stored columns.
+# Raw tables are split by load (what came in one file) and day, facts by month; `load`, `day`, `month` are stored columns.
 TABLES: dict[str, Table] = {
     "home_power_readings": Table("raw", (
         "timestamp TIMESTAMP NOT NULL", "interval_15m SMALLINT NOT NULL",
         "min_consumption_wh FLOAT NOT NULL", "max_consumption_wh FLOAT NOT NULL",
-        "day DATE NOT NULL", "source STRING NOT NULL",
-    ), ("day", "source")),
+        "source STRING NOT NULL", "load STRING NOT NULL", "day DATE NOT NULL",
+    ), ("load", "day")),
     "solar_panel": Table("raw", (
         "id INT NOT NULL", "name VARCHAR(25) NOT NULL", "capacity_kwh FLOAT NOT NULL",
         "intensity_power_rating FLOAT NOT NULL", "temperature_power_rating FLOAT NOT NULL",
@@ -69,14 +69,14 @@ TABLES: dict[str, Table] = {
     ), (), ("id",)),
     "solar_panel_readings": Table("raw", (
         "timestamp TIMESTAMP NOT NULL", "interval_15m SMALLINT NOT NULL", "panel_id INT NOT NULL",
-        "generation_power_wh FLOAT NOT NULL", "day DATE NOT NULL", "source STRING NOT NULL",
-    ), ("day", "source")),
+        "generation_power_wh FLOAT NOT NULL", "source STRING NOT NULL", "load STRING NOT NULL", "day DATE NOT NULL",
+    ), ("load", "day")),
     "battery_readings": Table("raw", (
         "timestamp TIMESTAMP NOT NULL", "interval_15m SMALLINT NOT NULL", "battery_name VARCHAR(15) NOT NULL",
         "capacity_kwh FLOAT NOT NULL", "max_charge_speed_w FLOAT NOT NULL", "current_energy_wh FLOAT NOT NULL",
         "is_charging SMALLINT NOT NULL", "status VARCHAR(15) NOT NULL", "max_output_w FLOAT NOT NULL",
-        "day DATE NOT NULL", "source STRING NOT NULL",
-    ), ("day", "source")),
+        "source STRING NOT NULL", "load STRING NOT NULL", "day DATE NOT NULL",
+    ), ("load", "day")),
     "dim_home": Table("wh", (
         "home_key BIGINT NOT NULL", "home_id INT NOT NULL", "min_consumption_power_wh DOUBLE NOT NULL",
         "max_consumption_power_wh DOUBLE NOT NULL", "start_date TIMESTAMP NOT NULL", "end_date TIMESTAMP",

@@ -12,6 +12,7 @@ from wattloom.functions.energy import watts_to_wh
 from wattloom.functions.timebucket import month_start
 from wattloom.operators.quality import CORRUPT
 from wattloom.schemas import TABLES, as_table, empty_table, no_rows
+from wattloom.session import scratch
 from wattloom.sources.catalogues import LOG_PANEL_ID
 
 
@@ -30,7 +31,7 @@ class Lake:
 
     def read(self, table: str) -> DataFrame:
         """A raw or fact table; empty when nothing was written yet."""
-        return open_table(self.spark, self.path(table), TABLES[table].schema, TABLES[table].partitions)
+        return open_table(self.spark, self.path(table), TABLES[table].schema)
 
     def dim(self, table: str) -> DataFrame:
         """Last committed version of a dimension."""
@@ -65,6 +66,22 @@ class Lake:
         keys = [k for k in TABLES[table].keys]
         write_partitioned(placed.hint("rebalance", "month"), self.path(table), ["month"], keys, "append")
 
+    def replace_fact(self, rows: DataFrame, table: str) -> None:
+        """Fact rows in place of those of the same key; only the months that they touch are written again.
+
+        The new months are written beside the table first, as a folder can't be read and replaced at once.
+        """
+        rows = as_table(rows.withColumn("month", month_start(F.col("date_key"))), table)
+        months = [r["month"] for r in rows.select("month").distinct().collect()]
+        if not months:
+            return
+        kept = self.read(table).filter(F.col("month").isin(months))
+        keys = [*TABLES[table].keys]
+        staged = scratch(self.spark, table)
+        kept.join(rows.select(*keys), keys, "left_anti").select(*rows.columns).unionByName(rows).write.parquet(staged)
+        fresh = self.spark.read.schema(rows.schema).parquet(staged)
+        write_partitioned(fresh.hint("rebalance", "month"), self.path(table), ["month"], keys, "overwrite")
+
     def _at(self, table: str, version: int) -> DataFrame:
         return self.spark.read.schema(TABLES[table].schema).parquet(f"{self.path(table)}/data/v{version}")
 
@@ -74,10 +91,25 @@ class Lake:
         return commits.agg(F.max("version")).first()[0] or 0
 
 
-def open_table(spark: SparkSession, path: str, schema: T.StructType, by: tuple[str, ...] = ()) -> DataFrame:
-    """A parquet folder, made first (without rows) when it is not there."""
-    no_rows(spark, schema).write.mode("ignore").partitionBy(*by).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+def _hadoop(spark: SparkSession, path: str):
+    """File system and path object, as the job's own readers and writers see them."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def open_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A parquet folder; no rows when it is not there."""
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else no_rows(spark, schema)
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], order: list[str], mode: str) -> None:
@@ -89,54 +121,78 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], order: list[str],
     writer.parquet(path)
 
 
-def _load_raw(lake: Lake, df: DataFrame, table: str, source: str, order: list[str]) -> None:
-    """Put readings into their (day, source) folders in place of an earlier load of the same day and
-    source, so that a second run does not double a day. No shuffle: a file of one day stays in its tasks."""
+def _load_raw(lake: Lake, df: DataFrame, table: str, source: str, order: list[str], loads: list[str] | None) -> None:
+    """Put readings in place of what the same loads brought before.
+
+    A load is what comes in one file. Its rows may be of any days; a second run replaces the load as a whole, also by nothing, and
+    touches no other. Rows name their load in ``load``; without it all of them are one load, named by the first of ``loads``
+    or the source. No shuffle: a file of one day stays in its tasks. If the job dies between removal and the end of the
+    write, run it again.
+    """
+    loads = loads or [source]
     placed = df.withColumn("day", F.to_date("timestamp")).withColumn("source", F.lit(source))
-    write_partitioned(as_table(placed, table), lake.path(table), ["day", "source"], order, "overwrite")
+    if "load" not in df.columns:
+        placed = placed.withColumn("load", F.lit(loads[0]))
+    for load in loads:
+        remove(lake.spark, f"{lake.path(table)}/load={load}")
+    write_partitioned(as_table(placed, table), lake.path(table), ["load", "day"], order, "append")
+
 
+def drop_days(lake: Lake, table: str, before: str) -> int:
+    """Remove the raw day folders before a date; how many there were. Facts and dimensions stay."""
+    found = lake.read(table).filter(F.col("day") < F.lit(before).cast("date")).select("load", "day").distinct().collect()
+    for r in found:
+        remove(lake.spark, f"{lake.path(table)}/load={r['load']}/day={r['day']}")
+    return len(found)
 
-def _with_corrupt(df: DataFrame) -> list[str]:
-    return [CORRUPT] if CORRUPT in df.columns else []
+
+def _carried(df: DataFrame) -> list[str]:
+    return [c for c in (CORRUPT, "load") if c in df.columns]
 
 
 def home_rows(df: DataFrame, kind: str, sample_seconds: float | None = None) -> DataFrame:
     """Raw home columns. The log's one watt column is both minimum and maximum, stored as it is
     unless ``sample_seconds`` asks for watt-hours."""
     if kind == "file":
-        return df.select("timestamp", "interval_15m", "min_consumption_wh", "max_consumption_wh")
+        return df.select("timestamp", "interval_15m", "min_consumption_wh", "max_consumption_wh", *_carried(df))
     wh = watts_to_wh(F.col("current_consumption_w"), sample_seconds)
     return df.select(
         F.col("time_stamp").alias("timestamp"), "interval_15m",
-        wh.alias("min_consumption_wh"), wh.alias("max_consumption_wh"), *_with_corrupt(df),
+        wh.alias("min_consumption_wh"), wh.alias("max_consumption_wh"), *_carried(df),
     )
 
 
 def solar_rows(df: DataFrame, kind: str, panel_id: int = LOG_PANEL_ID, sample_seconds: float | None = None) -> DataFrame:
-    """Raw solar columns; the log source is all of one panel."""
+    """Raw solar columns; the log source is all of one panel, and the panel is part of its load's name."""
     if kind == "file":
-        return df.select("timestamp", "interval_15m", "panel_id", "generation_power_wh")
+        return df.select("timestamp", "interval_15m", "panel_id", "generation_power_wh", *_carried(df))
     wh = watts_to_wh(F.col("current_consumption_w"), sample_seconds)
+    if "load" in df.columns:
+        df = df.withColumn("load", F.concat(F.lit(panel_load("", panel_id)), "load"))
     return df.select(
         F.col("time_stamp").alias("timestamp"), "interval_15m",
-        F.lit(panel_id).alias("panel_id"), wh.alias("generation_power_wh"), *_with_corrupt(df),
+        F.lit(panel_id).alias("panel_id"), wh.alias("generation_power_wh"), *_carried(df),
     )
 
 
+def panel_load(load: str, panel_id: int = LOG_PANEL_ID) -> str:
+    return f"panel{panel_id}-{load}"
+
+
 def battery_rows(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed("time_stamp", "timestamp")
 
 
-def append_home(lake: Lake, rows: DataFrame, kind: str) -> None:
-    _load_raw(lake, rows, "home_power_readings", kind, ["timestamp"])
+def append_home(lake: Lake, rows: DataFrame, kind: str, loads: list[str] | None = None) -> None:
+    _load_raw(lake, rows, "home_power_readings", kind, ["timestamp"], loads)
 
 
-def append_solar(lake: Lake, rows: DataFrame, kind: str) -> None:
-    _load_raw(lake, rows, "solar_panel_readings", kind, ["panel_id", "timestamp"])
+def append_solar(lake: Lake, rows: DataFrame, kind: str, loads: list[str] | None = None) -> None:
+    _load_raw(lake, rows, "solar_panel_readings", kind, ["panel_id", "timestamp"], loads)
 
 
-def append_battery(lake: Lake, rows: DataFrame) -> None:
-    _load_raw(lake, rows, "battery_readings", "log", ["battery_name", "timestamp"])
+def append_battery(lake: Lake, rows: DataFrame, loads: list[str] | None = None) -> None:
+    _load_raw(lake, rows, "battery_readings", "log", ["battery_name", "timestamp"], loads)
 
 
 def write_csv_by_interval(df: DataFrame, path: str, interval: str = "interval_15m") -> None:

@@ -38,6 +38,13 @@ def parse_clm(files: DataFrame, year: int | None = None) -> DataFrame:
     )
 
 
+def rejected_clm_lines(files: DataFrame) -> DataFrame:
+    """``station``, ``pos``, ``line`` of hour lines that :func:`parse_clm` leaves out because they lack six fields."""
+    lines = files.select("station", F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
+    body = F.col("pos") - HEADER_LINES
+    return lines.filter((body >= 0) & (F.pmod(body, F.lit(LINES_PER_DAY)) > 0) & (F.size(F.split("line", ",")) != 6) & (F.trim("line") != ""))
+
+
 def read_clm(spark: SparkSession, path: str | list[str], year: int | None = None) -> DataFrame:
     files = spark.read.text(path, wholetext=True)
     return parse_clm(files.select(F.col("_metadata.file_path").alias("station"), "value"), year)

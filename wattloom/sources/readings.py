@@ -5,6 +5,9 @@ Every path may be one file, a list or a glob, so many days load in one job.
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,36 +45,41 @@ def source_path(root: str, topic: str, kind: str, date: str) -> str:
         raise ValueError(f"no {kind!r} source for {topic!r}; choose one of {kinds}") from None
 
 
-def _csv(spark: SparkSession, path: Paths, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+def _csv(spark: SparkSession, path: Paths, schema: str, origin: str | None = None) -> DataFrame:
+    return _with_load(spark.read.schema(schema).option("header", True).csv(path), origin)
 
 
-def _json(spark: SparkSession, path: Paths, schema: str, keep_corrupt: bool) -> DataFrame:
+def _json(spark: SparkSession, path: Paths, schema: str, keep_corrupt: bool, origin: str | None = None) -> DataFrame:
     if not keep_corrupt:
-        return spark.read.schema(schema).json(path)
+        return _with_load(spark.read.schema(schema).json(path), origin)
     reader = spark.read.schema(f"{schema}, {CORRUPT} STRING").option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.json(path)
+    return _with_load(reader.json(path), origin)
+
+
+def _with_load(df: DataFrame, origin: str | None) -> DataFrame:
+    """Adds ``load``, the part of the file's path that ``origin`` takes out."""
+    return df if origin is None else df.withColumn("load", F.regexp_extract(F.col("_metadata.file_path"), origin, 1))
 
 
 def _with_interval(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn("interval_15m", interval_15m(F.col(ts)))
 
 
-def read_weather_csv(spark: SparkSession, path: Paths) -> DataFrame:
-    return _with_interval(_csv(spark, path, WEATHER_CSV), "timestamp")
+def read_weather_csv(spark: SparkSession, path: Paths, origin: str | None = None) -> DataFrame:
+    return _with_interval(_csv(spark, path, WEATHER_CSV, origin), "timestamp")
 
 
-def read_home_csv(spark: SparkSession, path: Paths) -> DataFrame:
-    return _with_interval(_csv(spark, path, HOME_CSV), "timestamp")
+def read_home_csv(spark: SparkSession, path: Paths, origin: str | None = None) -> DataFrame:
+    return _with_interval(_csv(spark, path, HOME_CSV, origin), "timestamp")
 
 
-def read_home_log(spark: SparkSession, path: Paths, keep_corrupt: bool = False) -> DataFrame:
+def read_home_log(spark: SparkSession, path: Paths, keep_corrupt: bool = False, origin: str | None = None) -> DataFrame:
     """Log of watt samples. A torn line is a row of NULLs, or shows its text with ``keep_corrupt``."""
-    return _with_interval(_json(spark, path, POWER_LOG, keep_corrupt), "time_stamp")
+    return _with_interval(_json(spark, path, POWER_LOG, keep_corrupt, origin), "time_stamp")
 
 
-def read_solar_log(spark: SparkSession, path: Paths, keep_corrupt: bool = False) -> DataFrame:
-    return _with_interval(_json(spark, path, POWER_LOG, keep_corrupt), "time_stamp")
+def read_solar_log(spark: SparkSession, path: Paths, keep_corrupt: bool = False, origin: str | None = None) -> DataFrame:
+    return _with_interval(_json(spark, path, POWER_LOG, keep_corrupt, origin), "time_stamp")
 
 
 def explode_batteries(log: DataFrame) -> DataFrame:
@@ -85,8 +93,8 @@ def explode_batteries(log: DataFrame) -> DataFrame:
     return _with_interval(flatten(rows, "_reading"), "time_stamp")
 
 
-def read_battery_log(spark: SparkSession, path: Paths, keep_corrupt: bool = False) -> DataFrame:
-    return explode_batteries(_json(spark, path, BATTERY_LOG, keep_corrupt))
+def read_battery_log(spark: SparkSession, path: Paths, keep_corrupt: bool = False, origin: str | None = None) -> DataFrame:
+    return explode_batteries(_json(spark, path, BATTERY_LOG, keep_corrupt, origin))
 
 
 READERS = {
@@ -97,8 +105,20 @@ READERS = {
 
 
 def read_topic(spark: SparkSession, root: str, topic: str, kind: str, date: str) -> DataFrame:
-    """Readings of one topic and day, logs with their torn lines kept; an unknown kind is an error
-    before anything is read."""
+    """Readings of one topic and day with the ``load`` that each came in (kind and day of its file), logs with their torn
+    lines kept; an unknown kind is an error before anything is read."""
     path = source_path(root, topic, kind, date)
     keep = {"keep_corrupt": True} if kind == "log" else {}
-    return READERS[topic, kind](spark, path, **keep)
+    rows = READERS[topic, kind](spark, path, **keep, origin=_file_day(topic, kind))
+    return rows.withColumn("load", F.concat(F.lit(f"{kind}-"), "load"))
+
+
+def loads_of(rows: DataFrame, topic: str, kind: str) -> list[str]:
+    """Loads that a frame of :func:`read_topic` covers, those of files without rows included."""
+    days = (re.search(_file_day(topic, kind), unquote(f)) for f in rows.inputFiles())
+    return sorted({f"{kind}-{m[1]}" for m in days if m})
+
+
+def _file_day(topic: str, kind: str) -> str:
+    before, after = FILES[topic, kind].split("{date}")
+    return f"/{re.escape(before)}([^/]+?){re.escape(after)}(?:/|$)"

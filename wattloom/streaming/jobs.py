@@ -9,32 +9,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wattloom.functions.timebucket import month_start
+from wattloom.functions.timebucket import interval_15m, month_start
 from wattloom.operators.merge import insert_new
-from wattloom.sinks.tables import write_partitioned
+from wattloom.operators.quality import CORRUPT
+from wattloom.plans.flows import load_checked
+from wattloom.sinks.tables import Lake, write_partitioned
 from wattloom.sources.readings import BATTERY_LOG, POWER_LOG, explode_batteries
 
 
+def _log(spark: SparkSession, folder: str, schema: str, files_per_trigger: int) -> DataFrame:
+    """Lines of new files; a torn one shows its text."""
+    reader = spark.readStream.schema(f"{schema}, {CORRUPT} STRING").option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.option("maxFilesPerTrigger", files_per_trigger).json(folder)
+
+
 def stream_power_log(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
-    return spark.readStream.schema(POWER_LOG).option("maxFilesPerTrigger", files_per_trigger).json(folder)
+    return _log(spark, folder, POWER_LOG, files_per_trigger).withColumn("interval_15m", interval_15m(F.col("time_stamp")))
 
 
 def stream_battery_log(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
-    lines = spark.readStream.schema(BATTERY_LOG).option("maxFilesPerTrigger", files_per_trigger).json(folder)
-    return explode_batteries(lines)
+    return explode_batteries(_log(spark, folder, BATTERY_LOG, files_per_trigger))
 
 
-def start_ingest(stream: DataFrame, shape: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
-    """Append new files to a raw folder by day.
+def start_ingest(
+    lake: Lake, stream: DataFrame, shape: Callable[[DataFrame], DataFrame], table: str,
+    append: Callable[[DataFrame, list[str]], None], name: str, checkpoint: str,
+) -> StreamingQuery:
+    """Load new files into a raw table, checked like batch loads; torn lines and incomplete rows go to quarantine.
 
-    The file sink keeps a log of committed batches, so a batch that is run again after a failure is
-    not written twice.
+    Each micro-batch is a load of its own, ``name`` and number, so one that is run again after a failure replaces itself.
+    Numbers begin again with a new checkpoint: give it a new ``name``.
     """
-    rows = shape(stream).withColumn("day", F.to_date("timestamp"))
-    return (
-        rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-        .partitionBy("day").outputMode("append").trigger(availableNow=True).start()
-    )
+    def load(batch: DataFrame, n: int) -> None:
+        label = f"{name}-{n}"
+        load_checked(lake, shape(batch), table, label, lambda good: append(good, [label]))
+
+    return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def tumbling_sum(
@@ -66,12 +76,12 @@ def start_insert_new(
 
     The merge itself makes a repeated batch harmless: its keys are already in the target. Keys
     are unique within a batch when the stream comes from a windowed sum or has its repeats dropped. Only
-    the months that the batch spans are read of the target.
+    the months that the batch holds are read of the target, so one straggler adds one month.
     """
     def load(batch: DataFrame, _: int) -> None:
         rows = batch.withColumn("month", month_start(F.col(ts))).persist(StorageLevel.MEMORY_AND_DISK)
-        span = rows.agg(F.min("month").alias("first"), F.max("month").alias("last")).first()
-        target = read_target().filter(F.col("month").between(F.lit(span["first"]), F.lit(span["last"])))
+        months = [r["month"] for r in rows.select("month").distinct().collect()]
+        target = read_target().filter(F.col("month").isin(months))
         write_partitioned(insert_new(target, rows, keys), path, ["month"], keys, "append")
         rows.unpersist()
 

@@ -125,7 +125,7 @@ def raw_home_reload(t: Tables) -> DataFrame:
     early = rows.filter(F.col("timestamp") < F.lit(LOADED_UNTIL).cast("timestamp"))
     sinks.append_home(lake, early, "log")
     sinks.append_home(lake, rows, "log")
-    return doubled(lake.read("home_power_readings"))
+    return doubled(lake.read("home_power_readings").drop("load"))
 
 
 @query("raw_solar_two_sources", f"""WITH {READINGS} SELECT timestamp, interval_15m, panel_id, {F4.format('generation_power_wh')} AS generation_power_wh,
@@ -137,7 +137,7 @@ def raw_solar_two_sources(t: Tables) -> DataFrame:
     sinks.append_solar(lake, sinks.solar_rows(readings, "file"), "file")
     log = power_log(readings).withColumn("interval_15m", src.interval_15m(F.col("time_stamp")))
     sinks.append_solar(lake, sinks.solar_rows(log, "log", sample_seconds=1), "log")
-    return doubled(lake.read("solar_panel_readings"))
+    return doubled(lake.read("solar_panel_readings").drop("load"))
 
 
 @query("raw_battery_append", f"""WITH {READINGS} SELECT timestamp, interval_15m, battery_name, {F4.format('capacity_kwh')} AS capacity_kwh, max_charge_speed_w,
@@ -145,7 +145,7 @@ def raw_solar_two_sources(t: Tables) -> DataFrame:
 def raw_battery_append(t: Tables) -> DataFrame:
     lake = Lake(t.spark, t.scratch("lake"))
     sinks.append_battery(lake, t.readings())
-    return doubled(lake.read("battery_readings"))
+    return doubled(lake.read("battery_readings").drop("load"))
 
 
 @query("retain_7_days", f"""WITH {READINGS} SELECT panel_id, timestamp, {F4.format('generation_power_wh')} AS generation_power_wh FROM readings
@@ -185,7 +185,7 @@ def catalog_tables(t: Tables) -> DataFrame:
     tag = root.rsplit("-", 1)[-1]
     raw, wh = f"raw_{tag}", f"wh_{tag}"
     ensure_tables(t.spark, raw, wh, root)
-    rows = t.readings().withColumns({"day": F.to_date("timestamp"), "source": F.lit("log")})
+    rows = t.readings().withColumns({"day": F.to_date("timestamp"), "source": F.lit("log"), "load": F.lit("log")})
     as_table(rows, "home_power_readings").write.insertInto(f"{raw}.home_power_readings")
     return t.spark.sql(
         f"SELECT interval_15m, count(*) AS n, round(sum(CAST(min_consumption_wh AS DOUBLE)), 2) AS min_consumption_wh "
@@ -213,6 +213,11 @@ def daily_flows(t: Tables) -> DataFrame:
     one_home = t.appliances().withColumn("home_key", F.lit(1))
     run_warehouse(lake, one_home, None, NOW)
     run_warehouse(lake, one_home, None, "2024-02-02 00:00:00")
+    return fact_rows(lake)
+
+
+def fact_rows(lake: Lake) -> DataFrame:
+    """The three facts one below the other."""
     out = None
     for fact, name, key, device, value in (
         ("home", "fact_home_power_readings", "home_key", F.lit(1), "min_consumption_power_wh"),

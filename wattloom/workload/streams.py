@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattloom.sinks.tables import open_table
+from wattloom.plans.flows import load_panels, run_warehouse
+from wattloom.sinks import tables as sinks
+from wattloom.sinks.tables import Lake, open_table
 from wattloom.streaming import jobs
-from wattloom.workload.base import READINGS, Tables, query
-from wattloom.workload.files import F4, battery_log, doubled, power_log, write_json
+from wattloom.workload.base import NOW, READINGS, Tables, query
+from wattloom.workload.files import F4, FLOW_SQL, STAMP, battery_log, doubled, fact_rows, power_log, write_json
 
 
 def event_stream(t: Tables, copies: int = 1) -> DataFrame:
@@ -46,24 +48,54 @@ def stream_drop_repeats(t: Tables) -> DataFrame:
 @query("stream_ingest_logs", f"""WITH {READINGS} SELECT timestamp, {F4.format('min_consumption_wh')} AS wh, CAST(timestamp AS DATE) AS day FROM readings""")
 def stream_ingest_logs(t: Tables) -> DataFrame:
     """Log files come in two deliveries; the second run takes up the new files only."""
-    logs, out, state = t.scratch("logs"), t.scratch("stream-out"), t.scratch("stream-state")
+    logs, state, lake = t.scratch("logs"), t.scratch("stream-state"), Lake(t.spark, t.scratch("lake"))
     log = power_log(t.readings())
-    shape = lambda df: df.select(F.col("time_stamp").alias("timestamp"), F.col("current_consumption_w").alias("wh"))
     half = F.col("time_stamp") < F.lit("2024-01-16").cast("timestamp")
     for name, part in (("a", log.filter(half)), ("b", log.filter(~half))):
         write_json(part, f"{logs}/{name}")
         stream = jobs.stream_power_log(t.spark, f"{logs}/*")
-        jobs.start_ingest(stream, shape, out, state).awaitTermination()
-    return doubled(t.spark.read.schema("timestamp TIMESTAMP, wh FLOAT, day DATE").parquet(out))
+        ingest_home(lake, stream, state)
+    return doubled(lake.read("home_power_readings").select("timestamp", F.col("min_consumption_wh").alias("wh"), "day"))
+
+
+def ingest_home(lake: Lake, stream: DataFrame, state: str) -> None:
+    append = lambda rows, loads: sinks.append_home(lake, rows, "log", loads)
+    jobs.start_ingest(lake, stream, lambda df: sinks.home_rows(df, "log"), "home_power_readings", append, "home-stream", state).awaitTermination()
+
+
+def ingest_solar(lake: Lake, stream: DataFrame, state: str) -> None:
+    append = lambda rows, loads: sinks.append_solar(lake, rows, "log", loads)
+    jobs.start_ingest(lake, stream, lambda df: sinks.solar_rows(df, "log"), "solar_panel_readings", append, "solar-stream", state).awaitTermination()
+
+
+def ingest_batteries(lake: Lake, stream: DataFrame, state: str) -> None:
+    append = lambda rows, loads: sinks.append_battery(lake, rows, loads)
+    jobs.start_ingest(lake, stream, sinks.battery_rows, "battery_readings", append, "battery-stream", state).awaitTermination()
 
 
 @query("stream_ingest_batteries", f"""WITH {READINGS} SELECT timestamp, battery_name, {F4.format('current_energy_wh')} AS current_energy_wh, CAST(timestamp AS DATE) AS day FROM readings""")
 def stream_ingest_batteries(t: Tables) -> DataFrame:
-    logs, out = t.scratch("logs"), t.scratch("stream-out")
+    logs, lake = t.scratch("logs"), Lake(t.spark, t.scratch("lake"))
     write_json(battery_log(t.readings()), logs)
-    shape = lambda df: df.select(F.col("time_stamp").alias("timestamp"), "battery_name", "current_energy_wh")
-    jobs.start_ingest(jobs.stream_battery_log(t.spark, logs), shape, out, t.scratch("stream-state")).awaitTermination()
-    return doubled(t.spark.read.schema("timestamp TIMESTAMP, battery_name STRING, current_energy_wh FLOAT, day DATE").parquet(out))
+    ingest_batteries(lake, jobs.stream_battery_log(t.spark, logs), t.scratch("stream-state"))
+    return doubled(lake.read("battery_readings").select("timestamp", "battery_name", "current_energy_wh", "day"))
+
+
+@query("stream_ingest_then_warehouse", FLOW_SQL)
+def stream_ingest_then_warehouse(t: Tables) -> DataFrame:
+    """Logs with torn lines through streams into the raw tables, and from there into the facts."""
+    lake, readings = Lake(t.spark, t.scratch("lake")), t.readings()
+    logs = {n: t.scratch(n) for n in ("power", "battery")}
+    for name, rows in (("power", power_log(readings)), ("battery", battery_log(readings))):
+        line = F.to_json(F.struct(*rows.columns), {"timestampFormat": STAMP})
+        torn = F.explode(F.when(F.rand(7) < 0.01, F.array(line, F.substring(line, 1, 40))).otherwise(F.array(line)))
+        rows.select(torn.alias("value")).write.text(logs[name])
+    ingest_home(lake, jobs.stream_power_log(t.spark, logs["power"]), t.scratch("stream-state"))
+    ingest_solar(lake, jobs.stream_power_log(t.spark, logs["power"]), t.scratch("stream-state"))
+    ingest_batteries(lake, jobs.stream_battery_log(t.spark, logs["battery"]), t.scratch("stream-state"))
+    load_panels(lake)
+    run_warehouse(lake, t.appliances().withColumn("home_key", F.lit(1)), None, NOW)
+    return fact_rows(lake)
 
 
 @query("stream_insert_new", "SELECT event_id, ts AS date_key, value AS generation_power_wh, CAST(date_trunc('month', ts) AS DATE) AS month FROM events")
@@ -71,7 +103,7 @@ def stream_insert_new(t: Tables) -> DataFrame:
     """The same stream from its start twice, as after a lost checkpoint: the second run adds nothing."""
     out = t.scratch("facts")
     schema = T.StructType.fromDDL("event_id BIGINT, date_key TIMESTAMP, generation_power_wh DOUBLE, month DATE")
-    target = lambda: open_table(t.spark, out, schema, ("month",))
+    target = lambda: open_table(t.spark, out, schema)
     rows = event_stream(t).select("event_id", F.col("timestamp").alias("date_key"), "generation_power_wh")
     for _ in range(2):
         jobs.start_insert_new(rows, target, ["event_id"], out, t.scratch("stream-state")).awaitTermination()
