@@ -125,6 +125,14 @@ def test_a_version_without_commit_is_not_read(lake):
     assert lake.dim("dim_home_appliances").count() == 0 and lake.dim_at("dim_home_appliances", 1).count() == 1
 
 
+def test_old_versions_expire(lake):
+    rows = lake.spark.createDataFrame([(1, 1, "a", 1.0, 2.0, "x")], TABLES["dim_home_appliances"].schema)
+    for _ in range(4):
+        lake.write_dim(rows, "dim_home_appliances")
+    assert lake.expire("dim_home_appliances", 2) == 2 and lake.expire("dim_home_appliances", 2) == 0
+    assert lake.dim("dim_home_appliances").count() == 1 and lake.write_dim(rows, "dim_home_appliances") == 5
+
+
 def test_catalog(spark, tmp_path):
     names = ensure_tables(spark, "raw_t", "wh_t", str(tmp_path))
     assert len(names) == 12 and namespace_exists(spark, "raw_t") and not namespace_exists(spark, "absent")

@@ -16,6 +16,7 @@ from wattloom.functions.keys import composite_key, next_key
 from wattloom.functions.predicates import changed
 from wattloom.operators.joins import spread_join
 from wattloom.operators.quality import require_unique
+from wattloom.session import scratch
 
 START, END, FLAG = "start_date", "end_date", "current_flag"
 OPENED = "_opened"
@@ -36,7 +37,11 @@ class CompositeKey:
 
 @dataclass(frozen=True)
 class DenseKey:
-    """Largest key in use plus 1, 2, … over the new versions."""
+    """Largest key in use plus 1, 2, … over the new versions.
+
+    The joined rows (current and new versions) are needed three times: as they are, numbered, and counted by bucket. They are
+    written below the shared folder once instead of being joined three times, and again for every load built on this one.
+    """
 
     key: str
     business_key: tuple[str, ...]
@@ -44,6 +49,9 @@ class DenseKey:
     bucket: Column | None = None
 
     def fill(self, dim: DataFrame, rows: DataFrame) -> DataFrame:
+        path = scratch(rows.sparkSession, "versions")
+        rows.write.parquet(path)
+        rows = rows.sparkSession.read.schema(rows.schema).parquet(path)
         opened = rows.filter(OPENED)
         numbered = next_key(
             dim, opened, list(self.business_key), self.key, buckets=self.buckets, bucket=self.bucket

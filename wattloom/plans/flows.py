@@ -163,6 +163,9 @@ def load_calendar(lake: Lake, start: str, end: str) -> None:
     lake.write_dim(dims.dim_date(lake.spark, start, end), "dim_date")
 
 
-def retain(lake: Lake, before: str) -> dict[str, int]:
-    """Remove raw readings of days before a date; the number of day folders per table."""
+def retain(lake: Lake, before: str, versions: int = 7) -> dict[str, int]:
+    """Remove raw readings of days before a date, and all but the newest versions of dimensions; the number of day folders per table."""
+    for table, spec in TABLES.items():
+        if not spec.partitions:
+            lake.expire(table, versions)
     return {table: sinks.drop_days(lake, table, before) for table in RAW_READINGS}

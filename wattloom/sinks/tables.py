@@ -16,9 +16,6 @@ from wattloom.session import scratch
 from wattloom.sources.catalogues import LOG_PANEL_ID
 
 
-COMMITS = T.StructType().add("version", T.IntegerType()).add("at", T.TimestampType())
-
-
 @dataclass(frozen=True)
 class Lake:
     """Where the tables are. ``root`` is a folder that all executors reach."""
@@ -47,14 +44,14 @@ class Lake:
     def write_dim(self, df: DataFrame, table: str) -> int:
         """Write a whole dimension as a new version and make it the current one.
 
-        The folder being read is never overwritten. A version counts once its number is in the list
-        of commits, so a job that dies half-way leaves the old version in place and its own
-        folder is replaced by the next run. One writer at a time.
+        The folder being read is never overwritten. A version counts once its marker file is there, so a job that dies
+        half-way leaves the old version in place and its own folder is replaced by the next run. One writer at a
+        time: a second one fails when it makes the same marker.
         """
         n = self._version(table) + 1
         as_table(df, table).write.mode("overwrite").parquet(f"{self.path(table)}/data/v{n}")
-        done = self.spark.range(1).select(F.lit(n).alias("version"), F.current_timestamp().alias("at"))
-        done.coalesce(1).write.mode("append").parquet(f"{self.path(table)}/commits")
+        fs, marker = _hadoop(self.spark, f"{self.path(table)}/commits/v{n}")
+        fs.create(marker, False).close()
         return n
 
     def append_fact(self, new: DataFrame, table: str) -> None:
@@ -86,9 +83,17 @@ class Lake:
         return self.spark.read.schema(TABLES[table].schema).parquet(f"{self.path(table)}/data/v{version}")
 
     def _version(self, table: str) -> int:
-        # One number from the commit list, which has a row per load.
-        commits = open_table(self.spark, f"{self.path(table)}/commits", COMMITS)
-        return commits.agg(F.max("version")).first()[0] or 0
+        fs, folder = _hadoop(self.spark, f"{self.path(table)}/commits")
+        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        return max((int(n[1:]) for n in names if n.startswith("v")), default=0)
+
+    def expire(self, table: str, keep: int = 7) -> int:
+        """Remove all but the newest versions of a dimension; how many went."""
+        old = range(1, self._version(table) - keep + 1)
+        gone = [n for n in old if exists(self.spark, f"{self.path(table)}/data/v{n}")]
+        for n in gone:
+            remove(self.spark, f"{self.path(table)}/data/v{n}")
+        return len(gone)
 
 
 def _hadoop(spark: SparkSession, path: str):
