@@ -31,6 +31,7 @@ TREES = 8
 LEAF = 256  # sampled vectors in a leaf
 SAMPLE = 16_384  # vectors that fit one forest
 SPILL = 0.015  # margin on either side of a split, in units of a unit vector's length
+TRIES, OVERLAP = 12, 1.25  # splits tried at a node, and rows of both sides over its own at most
 LARGE = 4096  # classes in a leaf that is split again, and in a block
 ROUNDS = 6
 
@@ -43,16 +44,18 @@ def fit_tree(x: np.ndarray, rng: np.random.Generator, leaf: int = LEAF, depth: i
     def grow(at: np.ndarray, level: int) -> int:
         nonlocal leaves
         if len(at) > leaf and level < depth:
-            w = rng.standard_normal(x.shape[1])
-            w /= np.linalg.norm(w)
-            p = x[at] @ w
-            t = float(np.quantile(p, rng.uniform(0.4, 0.6)))
-            low, high = at[p <= t + SPILL], at[p > t - SPILL]
-            if max(len(low), len(high)) < 0.95 * len(at):
-                n = len(nodes)
-                nodes.append(None)
-                nodes[n] = (w, t, grow(low, level + 1), grow(high, level + 1))
-                return n
+            for _ in range(TRIES):
+                w = rng.standard_normal(x.shape[1])
+                w /= np.linalg.norm(w)
+                p = x[at] @ w
+                t = float(np.quantile(p, rng.uniform(0.3, 0.7)))
+                low, high = at[p <= t + SPILL], at[p > t - SPILL]
+                # A split through a cluster of near copies would send most of it both ways.
+                if len(low) + len(high) <= OVERLAP * len(at) and max(len(low), len(high)) < 0.95 * len(at):
+                    n = len(nodes)
+                    nodes.append(None)
+                    nodes[n] = (w, t, grow(low, level + 1), grow(high, level + 1))
+                    return n
         leaves += 1
         return -leaves
 
