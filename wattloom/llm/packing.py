@@ -15,6 +15,7 @@ from __future__ import annotations
 import bisect
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,27 +31,33 @@ CAPACITY = 2048
 CACHE = 1_000_000  # words per worker
 # White space besides single spaces and line feeds between words.
 ODD = [" " * 2, " \n", "\n ", "\n" * 2, *map(chr, [1, 9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])]
-STOP = re.compile(r"[.,](?<=[A-Za-zÀ-ÖØ-öø-ÿ][.,])(?=[ \n]|\Z)")
+# Units of the pattern in ASCII words; apostrophes, special tokens and white space inside are left to the whole encoder.
+UNITS = re.compile(r" ?[A-Za-z]+| ?[0-9]+| ?[^ A-Za-z0-9]+")
+WHOLE = re.compile(r"'|<\||.[\x00-\x20\x7F]|^[\x00-\x1F\x7F]| $", re.S)
+# How byte-level vocabularies write bytes: printable ones as they are, the others from 256 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTES = {b: b if b in _SHOWN else 256 + sum(c not in _SHOWN for c in range(b)) for b in range(256)}
 
 
 class Encoder:
     """Token ids of texts as packed little-endian numbers, from a ``tokenizers`` file.
 
-    The byte-level pattern never joins characters over a single space (or line feed) between two other characters, nor a
-    letter and a full stop or comma. Texts are cut there and the cuts are looked up; new ones are encoded,
-    those with a space in front many at a time. Any other white space stays inside its cut.
+    The byte-level pattern never joins characters over a single space (or line feed) between two other characters. Texts are
+    cut there and the cuts are looked up. Of new ones, plain words are units of the pattern, or a few (letters, digits, signs), and go to the
+    vocabulary's model directly; all others are encoded whole. Any other white space stays inside its cut.
     """
 
     def __init__(self, file: str) -> None:
         from tokenizers import Tokenizer
 
         self.model, self.known = Tokenizer.from_file(file), {}
+        self.merge = self.model.model.tokenize
 
     def cuts(self, text: str) -> list[str]:
         if not text:
             return []
         if text[0] not in " \n" and text[-1] not in " \n" and not any(o in text for o in ODD):
-            return STOP.sub("\1\\g<0>", text).replace(" ", "\1 ").replace("\n", "\1\n\1").split("\1")
+            return text.replace(" ", "\1 ").replace("\n", "\1\n\1").split("\1")
         out = []
         for i, part in enumerate(re.split(r"(?<=\S) (?=\S)", text)):
             whole = re.split(r"(?<=\S)(\n)(?=\S)", part)
@@ -58,35 +65,37 @@ class Encoder:
             out += whole
         return out
 
-    def learn(self, new: list[str]) -> None:
-        joined = [w for w in new if w[0] == " " and not w[1:2].isspace() and not w[-1].isspace() and "<|" not in w]
-        for a in range(0, len(joined), 2000):
-            part = joined[a : a + 2000]
-            got = self.model.encode(part, is_pretokenized=True, add_special_tokens=False)
-            cut = (4 * np.searchsorted(np.array(got.word_ids), np.arange(len(part) + 1))).tolist()
-            ids = np.array(got.ids, "<u4").tobytes()
-            self.known.update(zip(part, map(ids.__getitem__, map(slice, cut[:-1], cut[1:])), strict=True))
-        rest = list(set(new).difference(joined))
-        for a in range(0, len(rest), 4096):
-            part = rest[a : a + 4096]
-            for w, e in zip(part, self.model.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str], group: int = 4 << 20) -> Iterator[bytes]:
-        part, held = [], 0
-        for n, text in enumerate(texts, 1):
-            part.append(self.cuts(text))
-            held += len(text)
-            if held >= group or n == len(texts):
-                new = set().union(*part).difference(self.known)
-                if len(self.known) + len(new) > CACHE:
-                    self.known, new = {}, set().union(*part)
-                self.known[""] = b""
-                new.discard("")
-                self.learn(list(new))
-                for cuts in part:
-                    yield b"".join(map(self.known.__getitem__, cuts))
-                part, held = [], 0
+    def unit(self, word: str) -> bytes:
+        """Ids of one unit of the pattern: letters, digits or other signs, with or without a space in front."""
+        ids = self.known.get(word)
+        if ids is None:
+            shown = word.translate(BYTES) if word.isascii() else word.encode().decode("latin-1").translate(BYTES)
+            ids = self.known[word] = array("I", [t.id for t in self.merge(shown)]).tobytes()
+        return ids
+
+    def learn(self, word: str) -> bytes:
+        if word.isascii() and not WHOLE.search(word):
+            ids = b"".join(map(self.unit, UNITS.findall(word)))
+        elif word.removeprefix(" ").isalpha():
+            return self.unit(word)
+        elif word[-1:] in (".", ",") and word[:-1].removeprefix(" ").isalpha():
+            ids = self.unit(word[:-1]) + self.unit(word[-1])
+        else:
+            ids = array("I", self.model.encode(word, add_special_tokens=False).ids).tobytes()
+        self.known[word] = ids
+        return ids
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        for text in texts:
+            cuts = self.cuts(text)
+            ids = list(map(self.known.get, cuts))
+            if None in ids:
+                for i, found in enumerate(ids):
+                    if found is None:
+                        ids[i] = self.known.get(cuts[i]) or self.learn(cuts[i])
+            yield b"".join(ids)
+            if len(self.known) > CACHE:
+                self.known = {}
 
 
 def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
