@@ -40,6 +40,7 @@ WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE = re.compile(r"[.!?;:\n]")
 PREFIXES = (4, 5, 6, 7)
 DEPTH = 3  # learned lexemes sought in each toxic document
+LOOSE = 0.6  # share of toxic documents among those with a lexeme, at least
 MEMORY = {TARGET: 4, NEGATION: 3}  # words
 POSITIVES, NEGATIVES, CANDIDATES = 4_000, 12_000, 50_000  # bounds of the labelled sample and of its word list
 
@@ -142,6 +143,26 @@ def words_of(text: str | None) -> set[str]:
     return words | {w[:k] + "*" for w in words for k in PREFIXES if len(w) > k}
 
 
+def covering(docs: list[set[str]], support: int, depth: int) -> list[str]:
+    """Words, greedily, until each document has ``depth`` of them or what is left is too rare: a word must be the first of ``support``
+    documents, or be found in a fiftieth of all."""
+    docs, need, out = [set(ws) for ws in docs], [depth] * len(docs), []
+    while any(docs):
+        gain = Counter(w for ws, k in zip(docs, need, strict=True) if k > 0 for w in ws)
+        # Whole words before beginnings, long ones before short ones, where they are found as often.
+        w, c = max(gain.items(), key=lambda x: (x[1], not x[0].endswith("*"), len(x[0]), x[0]), default=("", 0))
+        if c < support:
+            break
+        fresh = sum(k == depth and w in ws for ws, k in zip(docs, need, strict=True))
+        if fresh < support and c < 0.02 * len(docs):
+            docs = [ws - {w} for ws in docs]
+            continue
+        out.append(w)
+        need = [k - (w in ws) for ws, k in zip(docs, need, strict=True)]
+        docs = [{x for x in ws if x != w and not (w.endswith("*") and x.startswith(w[:-1]))} for ws in docs]
+    return out
+
+
 def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     """Weighted logistic regression with an intercept, by Newton's method."""
     x = np.c_[np.ones(len(x)), x]
@@ -192,28 +213,19 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
     outside = counts(0, set(inside))
     n = {y: c for y, c in ((r.y, r["count"]) for r in sample.groupBy("y").count().collect())}
     scale = {y: totals.get(y, 0) / n[y] if n.get(y) else 0.0 for y in (0, 1)}
-    good = {w for w, c in inside.items() if c * scale[1] >= precision * (c * scale[1] + outside.get(w, 0) * scale[0])}
+    share = {w: c * scale[1] / (c * scale[1] + outside.get(w, 0) * scale[0]) for w, c in inside.items()} if scale[1] else {}
+    good = {w for w, p in share.items() if p >= LOOSE}
 
     def explained(parts):
         for pdf in parts:
             yield pd.DataFrame({"ws": [sorted(words_of(t) & good) for t in pdf.text[pdf.y == 1]]})
 
     open_ = [set(r.ws) for r in sample.select("text", "y").mapInPandas(explained, "ws array<string>").collect()] if good else []
-    lexemes: dict[str, float] = {}
-    need = [DEPTH] * len(open_)
-    while any(open_):
-        gain = Counter(w for ws, k in zip(open_, need, strict=True) if k > 0 for w in ws)
-        # Whole words before beginnings, long ones before short ones, where they explain as much.
-        w, c = max(gain.items(), key=lambda x: (x[1], not x[0].endswith("*"), len(x[0]), x[0]), default=("", 0))
-        fresh = sum(k == DEPTH and w in ws for ws, k in zip(open_, need, strict=True))
-        if c < support or (fresh < support and c < 0.02 * len(open_)):
-            if not w:
-                break
-            open_ = [ws - {w} for ws in open_]
-            continue
-        lexemes[w] = math.log((inside[w] + 0.5) / (n.get(1, 0) + 1)) - math.log((outside.get(w, 0) + 0.5) / (n.get(0, 0) + 1))
-        need = [k - (w in ws) for ws, k in zip(open_, need, strict=True)]
-        open_ = [{x for x in ws if x != w and not (w.endswith("*") and x.startswith(w[:-1]))} for ws in open_]
+    chosen = covering([{w for w in ws if share[w] >= precision} for ws in open_], support, DEPTH)
+    # Documents without any clear lexeme may have one that clean text holds now and then.
+    bare = [ws for ws in open_ if not ws & set(chosen)]
+    chosen += covering(bare, support, 1)
+    lexemes = {w: math.log((inside[w] + 0.5) / (n.get(1, 0) + 1)) - math.log((outside.get(w, 0) + 0.5) / (n.get(0, 0) + 1)) for w in chosen}
     grammar = Grammar(lexemes | {w: 1.0 for w in SEEDS[INSULT].split() if w not in lexemes and w not in outside})
 
     def describe(parts):
