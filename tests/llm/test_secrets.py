@@ -48,7 +48,7 @@ def test_equals_brute_force(spark):
 
 def test_redaction(spark):
     rows = [(1, "a token=abcdefgh1 b", 1), (2, "clean", 5), (3, None, None), (4, "see https://x.org user=bob token: 12345678 end", 9), (5, "see https://x.org end", 21), (6, "k=" + "deadbeef" * 4 + " token=" + "deadbeef" * 4, 0)]
-    docs = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, n_chars long, start string")
+    docs = spark.createDataFrame([(*r, "z", "e", 1, "b") for r in rows], "doc_id long, text string, n_chars long, start string, extra string, row int, base string")
     out = redacted(docs)
     assert out.columns == docs.columns
     got = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}

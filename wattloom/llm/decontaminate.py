@@ -6,8 +6,8 @@ looked up among the items' q-grams; hits are counted in overlapping bands of dia
 wander; bands that reach the bound are aligned exactly, in a band around them. Both sides are compared
 after lower-casing A-Z and joining white space, and spans are mapped back to the text.
 
-The benchmark is a given table of test items; it goes to every task as one index. Its size is checked before: larger ones are
-worked off in parts of ``MOST`` bytes, one pass over the documents each, and the parts' spans are united.
+The benchmark is a given table of test items; it goes to every task, as indexes of ``MOST`` bytes each. Its size is checked
+before: above ``LIMIT`` the call is refused, as such a table does not belong in a task. Cut it and unite the results of the parts.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from wattloom.llm.base import query, table
 Q = 8
 ERRORS = 0.08  # edits per character of the item
 MOST = 4 << 20  # bytes of benchmark text in one index
+LIMIT = 256 << 20  # bytes of benchmark text that a task is given
 SHORTEST = 24  # normalised bytes; shorter items are looked up whole
 _M = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -215,9 +216,11 @@ def regions_of(texts: list[str | None], index: Index, size: int = 4 << 20):
             done, part, held = n + 1, [], 0
 
 
-def indexes(benchmark: DataFrame, errors: float = ERRORS) -> list[list[tuple[int, str]]]:
-    """Items in parts of at most ``MOST`` bytes (a single longer item is a part of its own). Test sets are small next to
-    a corpus; they come to the driver part by part."""
+def indexes(benchmark: DataFrame) -> list[list[tuple[int, str]]]:
+    """Items in parts of at most ``MOST`` bytes (a single longer item is a part of its own)."""
+    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > LIMIT:
+        raise ValueError(f"benchmark of {size} bytes, above {LIMIT}: cut it and unite the results")
     parts, held = [[]], 0
     for r in benchmark.select(F.col("item_id").cast("long").alias("i"), "text").filter(F.length("text") > 0).toLocalIterator():
         if held and held + len(r.text) > MOST:
@@ -247,7 +250,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS)
                 pa.array([",".join(f"{'' if f[0] is None else f[0]}:{f[1]}:{f[2]}" for f in r) for r in rows], pa.string()),
             ], ["doc_id", "n_spans", "items", "edits", "spans"])
 
-    parts = indexes(benchmark, errors)
+    parts = indexes(benchmark)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_spans long, items array<long>, edits int, spans string")
 
 
@@ -263,7 +266,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS)
                     clean[n] &= not found
             yield batch.filter(pa.array(clean))
 
-    parts = indexes(benchmark, errors)
+    parts = indexes(benchmark)
     return docs.mapInArrow(run, docs.schema) if parts else docs
 
 

@@ -128,7 +128,8 @@ def redacted(docs: DataFrame) -> DataFrame:
     alone = marks.filter(F.size("__weak") == 0).withColumn("__spans", F.col("__base"))
     rest = stored(marks.filter(F.size("__weak") > 0).withColumn("__row", F.monotonically_increasing_id()), "weak")
     extra = linked(rest.select(F.col("__row").alias("row"), F.col("__base").alias("base"), F.col("__weak").alias("weak")))
-    joined = rest.join(extra.withColumnRenamed("row", "__row"), "__row", "left").withColumn("__spans", F.when(F.col("extra").isNotNull(), F.concat("__base", "extra")).otherwise(F.col("__base")))
+    extra = extra.withColumnsRenamed({"row": "__row", "extra": "__extra"})
+    joined = rest.join(extra, "__row", "left").withColumn("__spans", F.when(F.col("__extra").isNotNull(), F.concat("__base", "__extra")).otherwise(F.col("__base")))
     both = alone.select(*cols, "__spans").union(joined.select(*cols, "__spans"))
     out = both.withColumn("text", F.when(F.col("text").isNotNull(), masked(F.col("text"), F.col("__spans"))))
     if "n_chars" in cols:
