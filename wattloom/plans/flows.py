@@ -114,6 +114,8 @@ def run_warehouse(
 ) -> dict[str, int]:
     """Dimensions, and facts of the days that the loads of ``date`` touched (None: all days). A second run adds nothing.
 
+    Batteries are looked up in readings from ``battery_since`` on, by default from the first of these days on; those silent since then
+    keep the version that the run of their own days gave them.
     ``reload`` puts the facts of these days in place of earlier ones, for buckets that late samples complete. Facts
     whose device the dimension lacks go to quarantine; a run after the dimension has it inserts them. Gives their number per table.
     A dimension with two current versions of a device, or a stored fact without its dimension row, stops the run.
@@ -146,7 +148,8 @@ def run_warehouse(
     load("fact_solar_panel_power_readings", solar, "dim_solar_panel", "solar_panel_id")
 
     readings = lake.read("battery_readings")
-    lake.write_dim(dims.dim_battery(lake.dim("dim_battery"), readings, at, since=battery_since), "dim_battery")
+    since = battery_since or (days[0] if days else None)
+    lake.write_dim(dims.dim_battery(lake.dim("dim_battery"), readings, at, since=since), "dim_battery")
     battery = facts.battery_rows(readings, lake.dim("dim_battery"), days, as_of)
     load("fact_battery_power_readings", battery, "dim_battery", "battery_id")
     return bad
