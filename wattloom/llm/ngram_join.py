@@ -21,18 +21,16 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.base import query, stored, table
 from wattloom.llm.graph import components
-from wattloom.llm.shingles import set_key, shingle_sets
+from wattloom.llm.shingles import set_key, shingle_sets, text_groups
 
 THRESHOLD = 75  # per cent
 WIDTH = 5
@@ -40,18 +38,6 @@ LOW = 40  # bits of a shingle's hash inside its bucket
 COMMON = np.int64(1) << 40  # list length that stands for a heavy shingle
 
 
-def _texts(batches: Iterator[pa.RecordBatch], size: int = 4 << 20):
-    """Texts (the first column) of each batch in groups of about ``size`` characters, and the group's other columns."""
-    for batch in batches:
-        sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False))
-        a = 0
-        while a < len(batch):
-            b = max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + size)))
-            part = batch.slice(a, b - a)
-            yield part.columns[1:], part.column(0).to_pylist()
-            a = b
-
-
 def needed(n):
     """Shingles that a partner of a set of ``n`` must share at least."""
     return -(-THRESHOLD * n // 100)
@@ -61,7 +47,7 @@ def shingle_table(docs: DataFrame) -> DataFrame:
     """Rows of documents (``doc_id``, ``mark``: hash of the text, ``n``, ``key``; no key without words) and, with NULL ``n``,
     shingles (``key``) that are frequent in some batch, with their number of documents there (``doc_id``)."""
     def sets(batches):
-        for (ids, marks), texts in _texts(batches):
+        for (ids, marks), texts in text_groups(batches):
             found = shingle_sets(texts, WIDTH)
             keys = [set_key(s) if len(s) else None for s in found]
             once = {k: s for k, s in zip(keys, found, strict=True) if k is not None}
@@ -116,7 +102,7 @@ def shared_lists(docs: DataFrame, often: np.ndarray, postings: int, bucket_posti
     buckets = max(8, postings // bucket_postings)
 
     def post(batches):
-        for _, texts in _texts(batches, 6 << 20):
+        for _, texts in text_groups(batches, 6 << 20):
             once = {}
             for s in shingle_sets(texts, WIDTH):
                 if len(s):

@@ -18,8 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.base import query, table
-from wattloom.llm.ngram_join import _texts
-from wattloom.llm.shingles import word_hashes
+from wattloom.llm.shingles import text_groups, word_hashes
 from wattloom.llm.toxicity import crc_mod, labelled
 
 WORDS = 64
@@ -143,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
     sample, totals = labelled(docs, labels, "quality", positives, negatives)
 
     def codes(batches):
-        for (y,), texts in _texts(batches):
+        for (y,), texts in text_groups(batches):
             x, bags = encode(texts)
             cut = np.r_[0, np.cumsum(bags)]
             yield pa.RecordBatch.from_arrays([y, pa.array([pooled(x[a:b], BAG).astype("<f4").tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["y", "x"])
@@ -169,7 +168,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataF
     model = fit(docs, labels.filter(crc_mod(3) != 1))
 
     def score(batches):
-        for (doc, held), texts in _texts(batches):
+        for (doc, held), texts in text_groups(batches):
             x, bags = encode(texts)
             p = model.attend(x, bags)[0]
             yield pa.RecordBatch.from_arrays([doc, held, pa.array(p), pa.array((p >= threshold).astype(np.int32)), pa.array(bags.astype(np.int64))], ["doc_id", "held_out", "score", "predicted", "n_passages"])
@@ -181,7 +180,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataF
 def attention(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``passage`` (from 0), ``weight``: how much each passage counts in its document."""
     def weigh(batches):
-        for (doc,), texts in _texts(batches):
+        for (doc,), texts in text_groups(batches):
             x, bags = encode(texts)
             a = model.attend(x, bags)[1]
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(doc.to_pylist(), object), bags).tolist(), pa.int64()), pa.array(np.concatenate([np.arange(n) for n in bags]).astype(np.int32)), pa.array(a)], ["doc_id", "passage", "weight"])

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 SPACE = np.zeros(256, bool)
@@ -64,3 +68,15 @@ def shingle_sets(texts: list[str | None], width: int = 5) -> list[np.ndarray]:
 def set_key(s: np.ndarray) -> int:
     """Signed 64-bit digest of a set; equal sets have equal keys."""
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s))).astype(np.int64))
+
+
+def text_groups(batches: Iterator[pa.RecordBatch], size: int = 4 << 20):
+    """Texts (the first column) of each batch in groups of about ``size`` characters, and the group's other columns."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False))
+        a = 0
+        while a < len(batch):
+            b = max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + size)))
+            part = batch.slice(a, b - a)
+            yield part.columns[1:], part.column(0).to_pylist()
+            a = b
