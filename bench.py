@@ -83,7 +83,8 @@ def main() -> None:
     if "solar_day_csv" in wanted:
         day = scratch(spark, "weather-day")
         weather = upsample_linear(day_of_weather(spark, folder), "timestamp", ["solar_intensity", "temp"], 5000, ["site_id"])
-        weather.select("timestamp", "solar_intensity", "temp").write.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(day)
+        weather = weather.select("timestamp", "solar_intensity", "temp").repartitionByRange(23, "timestamp").sortWithinPartitions("timestamp")
+        weather.write.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(day)
     for name in wanted:
         start = time.perf_counter()
         if name == "solar_day_5ms":
