@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from wattloom.llm.decontaminate import ERRORS, Index, Q, SHORTEST, contaminated, edit_band, normal, regions_of, without_leaks
+from wattloom.llm.decontaminate import ERRORS, HIGHEST, Index, Q, SHORTEST, contaminated, edit_band, normal, regions_of, without_leaks
 
 
 def best_edits(pattern, text):
@@ -80,3 +80,32 @@ def test_tables(spark):
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [2, 2, 3, 4]
     assert without_leaks(docs, items.limit(0)).count() == 6
     assert contaminated(docs.limit(0), items).count() == 0
+
+
+@pytest.mark.parametrize("size", [24, 25, 95, 233, 394])
+@pytest.mark.parametrize("rate", [ERRORS, 0.095])
+def test_whole_documented_rate(size, rate):
+    rnd = random.Random(size)
+    say = lambda n: "".join(rnd.choice("abcdefghijklmnopqrst") for _ in range(n))
+    item, most = say(size), int(rate * size)
+    docs, want = [], []
+    for edits in (0, most - 1, most, most + 1, most + 2):
+        for how in range(3):
+            t = list(item)
+            # Spread evenly, so that as few q-grams as can be stay whole.
+            for j in sorted((int((n + 0.5) * size / max(1, edits)) for n in range(edits)), reverse=True):
+                t[j : j + 1] = [["Z"], [], ["Z", t[j]]][how]
+            docs.append(f"{say(40)} {''.join(t)} {say(40)}")
+            want.append(best_edits(clean(item), clean(docs[-1])))
+    assert most in want and most + 1 in want
+    for n, found in regions_of(docs, Index([(0, item)], rate)):
+        assert [f[3] for f in found] == [want[n]] * (want[n] <= most), (n, want[n])
+
+
+def test_rates_beyond_the_bound_are_refused(spark):
+    docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    items = docs.withColumnRenamed("doc_id", "item_id")
+    for rate in (HIGHEST, -0.01):
+        for call in (lambda: Index([], rate), lambda: contaminated(docs, items, rate), lambda: without_leaks(docs, items, rate)):  # noqa: B023
+            with pytest.raises(ValueError, match="q-gram bound"):
+                call()

@@ -8,6 +8,9 @@ after lower-casing A-Z and joining white space, and spans are mapped back to the
 
 The benchmark is a given table of test items; it goes to every task, as indexes of ``MOST`` bytes each. Its size is checked
 before: above ``LIMIT`` the call is refused, as such a table does not belong in a task. Cut it and unite the results of the parts.
+
+An item of ``m`` normalised bytes is found with up to ``int(errors * m)`` edits. Rates at which the lemma's bound would be below one
+common q-gram for some length are refused, not lowered.
 """
 
 from __future__ import annotations
@@ -20,10 +23,11 @@ from pyspark.sql import functions as F
 from wattloom.llm.base import query, table
 
 Q = 8
-ERRORS = 0.08  # edits per character of the item
+ERRORS = 0.08  # edits per normalised byte of the item
 MOST = 4 << 20  # bytes of benchmark text in one index
 LIMIT = 256 << 20  # bytes of benchmark text that a task is given
 SHORTEST = 24  # normalised bytes; shorter items are looked up whole
+HIGHEST = min((m // Q) / m for m in range(SHORTEST, SHORTEST + Q))  # rates below it leave every length a bound of one or more
 _M = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -89,17 +93,23 @@ def edit_band(pattern: np.ndarray, region: np.ndarray, k: int, diagonal: int, wi
     return (int(cost[best]), int(start[best]), int(j[best])) if cost[best] <= k else None
 
 
+def allowed(errors: float) -> None:
+    if not 0 <= errors < HIGHEST:
+        raise ValueError(f"{errors} edits per byte: the q-gram bound holds from 0 to below {HIGHEST:.4f}")
+
+
 class Index:
     """q-grams of the items with their places. Items shorter than ``SHORTEST`` bytes allow no edits."""
 
     def __init__(self, items: list[tuple[int, str]], errors: float = ERRORS) -> None:
+        allowed(errors)
         self.ids, self.text, self.k, self.least = [], [], [], []
         gram, item, place = [], [], []
         for i, t in items:
             x, _ = normal(np.frombuffer((t or "").encode(), np.uint8))
             if not len(x):
                 continue
-            k = min(int(errors * len(x)), max(0, (len(x) - Q) // (2 * Q))) if len(x) >= SHORTEST else 0
+            k = int(errors * len(x)) if len(x) >= SHORTEST else 0
             g = grams(x) if len(x) >= Q else grams(np.r_[x, np.zeros(Q - len(x), np.uint8)])[:1]
             gram.append(g.copy())
             item.append(np.full(len(g), len(self.ids)))
@@ -250,6 +260,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS)
                 pa.array([",".join(f"{'' if f[0] is None else f[0]}:{f[1]}:{f[2]}" for f in r) for r in rows], pa.string()),
             ], ["doc_id", "n_spans", "items", "edits", "spans"])
 
+    allowed(errors)
     parts = indexes(benchmark)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_spans long, items array<long>, edits int, spans string")
 
@@ -266,6 +277,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS)
                     clean[n] &= not found
             yield batch.filter(pa.array(clean))
 
+    allowed(errors)
     parts = indexes(benchmark)
     return docs.mapInArrow(run, docs.schema) if parts else docs
 
