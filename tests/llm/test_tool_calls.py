@@ -68,3 +68,19 @@ def test_plain_chats(spark):
     want = sorted((r.conv_id, r.turn, canonical({"role": r.role, "content": r.text})) for r in df.collect())
     assert sorted((r.conv_id, r.turn, r.json) for r in linked(df).collect()) == want
     assert linked(df.limit(0)).count() == 0
+
+
+def test_several_responses_in_one_message(spark):
+    tags = lambda *ids: "".join(f'<tool_response>{{"tool_call_id": "{i}", "content": 1}}</tool_response>\n' for i in ids)
+    assert parse("tool", tags("a", "b", "a"))["answers"] == ["a", "b"]
+    rows = [
+        (1, 0, "tool", tags("a", "b")), (1, 1, "assistant", says(call("n", a={"$ref": "a"}))), (1, 2, "assistant", says(call("a", a=1), call("b", a=2), call("u", a=3))),
+        (1, 3, "tool", tags("n", "lost")), (2, 0, "assistant", says(call("a", a=1))), (2, 1, "tool", tags("a")),
+    ]
+    out = {(r.conv_id, r.turn): r for r in linked(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(out) == len(rows)
+    assert {k: (r.n_calls, r.n_answered, r.status) for k, r in out.items()} == {
+        (1, 0): (0, 0, "ok"), (1, 1): (1, 1, "ok"), (1, 2): (3, 2, "ok"), (1, 3): (0, 0, "no_call"), (2, 0): (1, 1, "ok"), (2, 1): (0, 0, "ok")}
+    assert [t for _, t in sorted((k for k in out if k[0] == 1), key=lambda k: (out[k].position, out[k].depth, k[1]))] == [2, 0, 1, 3]
+    assert json.loads(out[1, 0].json)["tool_call_ids"] == ["a", "b"] and json.loads(out[2, 1].json)["tool_call_id"] == "a"
+    assert out[1, 1].depth == out[1, 0].depth + 1  # by its $ref to the first of both results

@@ -1,7 +1,7 @@
 """Chat messages with linked tool calls, as canonical JSON.
 
 Calls are read from assistant messages (``tool_calls`` of a JSON message, or ``<tool_call>`` tags), results from tool messages (``tool_call_id``,
-or ``<tool_response>`` tags), declarations (``tools``, JSON schemas of the arguments) from any message. Calls and results are
+or any number of ``<tool_response>`` tags), declarations (``tools``, JSON schemas of the arguments) from any message. Calls and results are
 joined by conversation and identifier; arguments are checked against the declared schema of their name; a result comes after its call,
 and a call after the results that its arguments name (``{"$ref": id}``). Messages that take no part are never joined.
 
@@ -99,7 +99,7 @@ def _call(c) -> dict | None:
 
 
 def parse(role: str | None, text: str | None) -> dict:
-    """Content, calls, identifier of the answered call, and declared schemas of one message."""
+    """Content, calls, identifiers of the answered calls (each once; None without any), and declared schemas of one message."""
     out = {"content": text, "calls": [], "answers": None, "schemas": []}
     whole = loads(text) if text and text.lstrip()[:1] == "{" else None
     if isinstance(whole, dict) and (whole.keys() & {"tool_calls", "tool_call_id", "tools"}):
@@ -107,18 +107,20 @@ def parse(role: str | None, text: str | None) -> dict:
         out["content"] = content if content is None or isinstance(content, str) else canonical(content)
         calls, tools = whole.get("tool_calls"), whole.get("tools")
         out["calls"] = [c for c in map(_call, calls if isinstance(calls, list) else []) if c]
-        out["answers"] = None if whole.get("tool_call_id") is None else str(whole["tool_call_id"])
+        out["answers"] = None if whole.get("tool_call_id") is None else [str(whole["tool_call_id"])]
         for t in tools if isinstance(tools, list) else []:
             f = t.get("function", t) if isinstance(t, dict) else {}
             if isinstance(f, dict) and isinstance(f.get("name"), str):
                 out["schemas"].append({"name": f["name"], "schema": canonical(f.get("parameters") or {})})
     elif text and "<tool_" in text:
+        answers = []
         for m in TAG.finditer(text):
             got = loads(m[2])
             if m[1] == "tool_call" and (c := _call(got)):
                 out["calls"].append(c)
             elif m[1] == "tool_response" and isinstance(got, dict) and got.get("tool_call_id") is not None:
-                out["answers"] = str(got["tool_call_id"])
+                answers.append(str(got["tool_call_id"]))
+        out["answers"] = list(dict.fromkeys(answers)) or None
         if out["calls"] or out["answers"] is not None:
             out["content"] = TAG.sub("", text).strip() if out["calls"] else text
     return out
@@ -133,7 +135,7 @@ def messages(chats: DataFrame) -> DataFrame:
                 yield pdf[["row", "conv_id", "turn", "role"]].assign(**{k: pd.Series([g[k] for g in got], dtype=object, index=pdf.index) for k in ("content", "calls", "answers", "schemas")})
 
     rows = chats.select(F.monotonically_increasing_id().alias("row"), F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    return stored(rows.mapInPandas(read, f"row long, conv_id long, turn long, role string, content string, calls {CALLS}, answers string, schemas array<struct<name:string,schema:string>>"), "messages")
+    return stored(rows.mapInPandas(read, f"row long, conv_id long, turn long, role string, content string, calls {CALLS}, answers array<string>, schemas array<struct<name:string,schema:string>>"), "messages")
 
 
 def order(edges: DataFrame, turns: DataFrame) -> DataFrame:
@@ -162,7 +164,7 @@ def order(edges: DataFrame, turns: DataFrame) -> DataFrame:
 
 def linked(chats: DataFrame) -> DataFrame:
     """A row per message: ``conv_id``, ``turn``, ``position``, ``depth`` (its place: by both, then ``turn``), ``role``, ``n_calls``, ``n_answered``,
-    ``n_invalid``, ``status`` (``ok``, ``no_call``: a result without call, ``cyclic``) and ``json``.
+    ``n_invalid``, ``status`` (``ok``, ``no_call``: any of its results has no call, ``cyclic``) and ``json`` (``tool_call_ids`` where one message has several results).
 
     The first call with an identifier is the one that results belong to; calls without identifier are never answered. Messages without
     conversation are not linked; without turn they come last. NULL text gives NULL content; text that is no valid JSON is content.
@@ -175,7 +177,7 @@ def linked(chats: DataFrame) -> DataFrame:
     place = F.struct("own", "row", "pos")
     first = calls.filter("id IS NOT NULL AND conv_id IS NOT NULL").groupBy("conv_id", "id").agg(F.min(place).alias("c"))
     first = stored(first.select("conv_id", "id", F.col("c.row").alias("call_row"), F.col("c.pos").alias("call_pos")), "first-calls")
-    results = tool.filter(F.col("answers").isNotNull()).select("row", "conv_id", F.col("answers").alias("id"), own)
+    results = tool.filter(F.col("answers").isNotNull()).select("row", "conv_id", F.explode("answers").alias("id"), own)
     met = stored(results.join(first, ["conv_id", "id"]).select("conv_id", "id", "row", "call_row", "call_pos", "own"), "met")
     asked = calls.select("conv_id", F.col("row").alias("dst"), F.explode("refs").alias("id"))
     needs = asked.join(met.groupBy("conv_id", "id").agg(F.min_by("row", F.struct("own", "row")).alias("src")), ["conv_id", "id"])
@@ -193,11 +195,11 @@ def linked(chats: DataFrame) -> DataFrame:
     told = calls.join(schema, ["conv_id", "name"], "left").join(answered, ["row", "pos"], "left")
     told = told.select("row", F.struct("pos", "id", "name", "arguments", F.coalesce("answered", F.lit(False)).alias("answered"), check("arguments", "schema").alias("errors")).alias("c"))
     told = told.groupBy("row").agg(F.array_sort(F.collect_list("c")).alias("cs"))
-    hit = met.select("row", F.lit(True).alias("has_call")).distinct()
-    joined = tool.join(told, "row", "left").join(hit, "row", "left").join(placed, F.col("row") == F.col("__row"), "left")
+    hit = met.groupBy("row").agg(F.count("*").alias("n_met"))
+    joined = tool.join(told, "row", "left").join(hit, "row", "left").join(placed, F.col("row") == F.col("__row"), "left").withColumn("has_call", F.col("n_met") == F.size("answers"))
     kinds = "array<struct<pos:int,id:string,name:string,arguments:string,answered:boolean,errors:array<string>>>"
     cols = ["conv_id", "turn", "role", "content", "answers", "cs", "has_call", "position", "depth", "cyclic"]
-    none = {"answers": "string", "cs": kinds, "has_call": "boolean", "position": "long", "depth": "long", "cyclic": "boolean"}
+    none = {"answers": "array<string>", "cs": kinds, "has_call": "boolean", "position": "long", "depth": "long", "cyclic": "boolean"}
     plain = plain.drop("answers").select(*[F.lit(None).cast(none[c]).alias(c) if c in none else F.col(c) for c in cols])
 
     def write(parts):
@@ -209,10 +211,11 @@ def linked(chats: DataFrame) -> DataFrame:
                 message = {"role": text(r.role), "content": text(r.content)}
                 if cs:
                     message["tool_calls"] = [{"id": c["id"], "type": "function", "function": {"name": c["name"], "arguments": c["arguments"]}} for c in cs]
-                if text(r.answers) is not None:
-                    message["tool_call_id"] = r.answers
+                answers = [] if r.answers is None else list(r.answers)
+                if answers:
+                    message |= {"tool_call_id": answers[0]} if len(answers) == 1 else {"tool_call_ids": answers}
                 bad = sum(len(c["errors"]) > 0 for c in cs)
-                status = "cyclic" if r.cyclic is True else "no_call" if text(r.answers) is not None and r.has_call is not True else "ok"
+                status = "cyclic" if r.cyclic is True else "no_call" if answers and r.has_call is not True else "ok"
                 out.append((len(cs), sum(bool(c["answered"]) for c in cs), bad, status, canonical(message)))
             if out:
                 yield pdf[["conv_id", "turn", "position", "depth", "role"]].assign(**dict(zip(["n_calls", "n_answered", "n_invalid", "status", "json"], map(list, zip(*out, strict=True)), strict=True)))
