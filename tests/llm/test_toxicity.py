@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -50,3 +51,12 @@ def test_held_out_labels(spark, sf):
     right = sum(r.predicted == r.toxic for r in rows)
     assert right >= 0.85 * len(rows)
     assert scored(d, Grammar(coefficients=[0.0] * 34), "doc_id", "lang").count() == d.count()
+
+
+def test_rare_insults_among_many_frequent_clean_words(spark):
+    rnd = random.Random(1)
+    common = " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(13_000))
+    docs = [(i, common + (" blargh" if i < 6 else "")) for i in range(40)]
+    labels = [(i, int(i < 20)) for i in range(40)]
+    g = fit(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert "blargh" in g.insults

@@ -42,7 +42,7 @@ PREFIXES = (4, 5, 6, 7)
 DEPTH = 3  # learned lexemes sought in each toxic document
 LOOSE = 0.6  # share of toxic documents among those with a lexeme, at least
 MEMORY = {TARGET: 4, NEGATION: 3}  # words
-POSITIVES, NEGATIVES, CANDIDATES = 4_000, 12_000, 50_000  # bounds of the labelled sample and of its word list
+POSITIVES, NEGATIVES = 4_000, 12_000  # bounds of the labelled sample
 
 
 def window(cls: int, k: int):
@@ -197,23 +197,24 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
     """Grammar learned from ``labels`` (``doc_id``, ``toxic``) and their documents; the seeds alone where there are none."""
     sample, totals = labelled(docs, labels, "toxic", positives, negatives)
 
-    def counts(y: int, only: set[str] | None):
-        def run(parts):
-            c = Counter()
-            for pdf in parts:
-                for t in pdf.text[pdf.y == y]:
-                    c.update(words_of(t) if only is None else words_of(t) & only)
-            if c:
-                yield pd.DataFrame({"w": list(c), "c": np.fromiter(c.values(), np.int64, len(c))})
-
-        found = sample.select("text", "y").mapInPandas(run, "w string, c long").groupBy("w").agg(F.sum("c").alias("c"))
-        return {r.w: r.c for r in found.filter(F.col("c") >= (support if only is None else 1)).orderBy(F.desc("c"), "w").limit(CANDIDATES).collect()}
+    def counts(parts):
+        both = Counter(), Counter()
+        for pdf in parts:
+            for t, y in zip(pdf.text, pdf.y, strict=True):
+                both[y].update(words_of(t))
+        words = list(both[0].keys() | both[1].keys())
+        if words:
+            yield pd.DataFrame({"w": words} | {k: np.array([c[w] for w in words], np.int64) for k, c in zip(("outside", "inside"), both, strict=True)})
 
-    inside = counts(1, None)
-    outside = counts(0, set(inside))
     n = {y: c for y, c in ((r.y, r["count"]) for r in sample.groupBy("y").count().collect())}
     scale = {y: totals.get(y, 0) / n[y] if n.get(y) else 0.0 for y in (0, 1)}
-    share = {w: c * scale[1] / (c * scale[1] + outside.get(w, 0) * scale[0]) for w, c in inside.items()} if scale[1] else {}
+    found = sample.select("text", "y").mapInPandas(counts, "w string, outside long, inside long").groupBy("w").agg(F.sum("outside").alias("outside"), F.sum("inside").alias("inside"))
+    part = F.col("inside") * scale[1]
+    found = found.filter(F.col("inside") >= support).withColumn("share", F.try_divide(part, part + F.col("outside") * scale[0]))
+    # Every word that toxic texts hold often enough is judged by its share; only those with a high one (and the seeds) are collected.
+    rows = found.filter((F.col("share") >= LOOSE) | F.col("w").isin(SEEDS[INSULT].split())).orderBy(F.desc("inside"), "w").collect()
+    inside, outside = {r.w: r.inside for r in rows}, {r.w: r.outside for r in rows if r.outside}
+    share = {r.w: r.share for r in rows if r.share is not None}
     good = {w for w, p in share.items() if p >= LOOSE}
 
     def explained(parts):
