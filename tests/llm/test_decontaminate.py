@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from wattloom.llm.decontaminate import ERRORS, HIGHEST, Index, Q, SHORTEST, contaminated, edit_band, normal, regions_of, without_leaks
+from wattloom.llm.decontaminate import ERRORS, HIGHEST, Index, SHORTEST, contaminated, edit_band, normal, regions_of, without_leaks
 
 
 def best_edits(pattern, text):
@@ -18,7 +18,7 @@ def best_edits(pattern, text):
 
 
 def budget(m):
-    return min(int(ERRORS * m), max(0, (m - Q) // (2 * Q))) if m >= SHORTEST else 0
+    return int(ERRORS * m) if m >= SHORTEST else 0
 
 
 def clean(t):
