@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import decontaminate, embedding_dedup, html_extraction, ngram_join, packing, quality, secrets, substring_dedup, tool_calls, toxicity  # noqa: F401
-from wattloom.llm.base import ORACLE, QUERIES, query, stored, table
+from wattloom.llm import decontaminate, ngram_join, packing, secrets, toxicity
+from wattloom.llm.base import query, stored, table
+from wattloom.llm.registry import ORACLE, QUERIES
 
 # Models and tokens are no part of SQL; the pipeline is tested against a plain version instead.
 ORACLE_SQL = None
