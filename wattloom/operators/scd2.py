@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.keys import composite_key, next_key
 from wattloom.functions.predicates import changed
-from wattloom.operators.joins import spread_join
 from wattloom.operators.quality import require_unique
+from wattloom.operators.timeline import as_of
 from wattloom.session import scratch
 
 START, END, FLAG = "start_date", "end_date", "current_flag"
@@ -134,24 +134,11 @@ def scd2_apply(
 
 
 def scd2_as_of_join(
-    facts: DataFrame, dim: DataFrame, on: dict[str, str], ts: str, cols: list[str], salts: int = 8, from_start: bool = False,
+    facts: DataFrame, dim: DataFrame, on: dict[str, str], ts: str, cols: list[str], from_start: bool = False,
 ) -> DataFrame:
     """Facts with ``cols`` of the version valid at ``ts`` (start included, end excluded).
 
-    ``from_start``: the first version of a business key is valid at any time before its end.
-
-    ``on`` maps fact column to dimension column. Facts of one hot business key are spread over
-    ``salts`` shuffle groups; see :func:`spread_join`.
+    ``from_start``: the first version of a business key is valid at any time before its end. ``on`` maps fact column to
+    dimension column. See :func:`wattloom.operators.timeline.as_of`.
     """
-    start = F.col(START)
-    if from_start:
-        first = F.min(START).over(Window.partitionBy(*on.values()))
-        start = F.when(start == first, F.lit("0001-01-01").cast("timestamp")).otherwise(start)
-    versions = dim.select(
-        *(F.col(d).alias(f"_v_{d}") for d in on.values()),
-        start.alias("_from"), F.col(END).alias("_to"), *cols,
-    )
-    valid = [F.col(ts) >= F.col("_from"), F.col("_to").isNull() | (F.col(ts) < F.col("_to"))]
-    equal = {f: f"_v_{d}" for f, d in on.items()}
-    joined = spread_join(facts, versions, equal, "left", extra=valid, salts=salts, spread_by=[ts])
-    return joined.select(*facts.columns, *cols)
+    return as_of(facts, dim, on, ts, START, END, cols, from_start)

@@ -29,6 +29,12 @@ class Tables:
     def scratch(self, name: str) -> str:
         return scratch(self.spark, name)
 
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """Written and read again, as a table that one load leaves for the next."""
+        path = self.scratch(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def readings(self) -> DataFrame:
         """Events with the columns of home, solar and battery readings."""
         ts = F.col("ts").cast("timestamp")
