@@ -45,6 +45,14 @@ def _newest(readings: DataFrame, by: dict[str, Column], ts: str, tie_break: list
     return ranked.filter("_rn = 1").drop("_rn")
 
 
+def newest_in(readings: DataFrame, by: list[str], ts: str, compared: list[str]) -> DataFrame:
+    """Newest row of each group (``by`` and 15-minute ``bucket``); rows of one time go by a hash of the ``compared`` columns."""
+    groups = {**{c: F.col(c) for c in by}, "bucket": bucket_start(F.col(ts))}
+    last = Window.partitionBy(*groups).orderBy(F.col(ts).desc(), F.xxhash64(*compared).desc())
+    ranked = readings.withColumns(groups).withColumn("_rn", F.row_number().over(last))
+    return ranked.filter("_rn = 1").drop("_rn")
+
+
 def last_per_bucket(
     readings: DataFrame, device: str, ts: str = "timestamp", tie_break: list[str] | None = None,
     date: str | list[str] | None = None,

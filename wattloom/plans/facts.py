@@ -36,37 +36,61 @@ def _keyed(staged: DataFrame, dim: DataFrame, on: dict[str, str], key: str, as_o
     return scd2_as_of_join(staged, dim, on, "bucket", [key], from_start=True)
 
 
-def home_rows(readings: DataFrame, dim_home: DataFrame, date: Days = None) -> DataFrame:
-    """Staged home facts of one household, whose key is the one current row of the dimension."""
+def staged_home(readings: DataFrame, date: Days = None) -> DataFrame:
+    return home_15m(readings, date)
+
+
+def keyed_home(staged: DataFrame, dim_home: DataFrame) -> DataFrame:
     home_key: Column = current(dim_home).select("home_key").scalar()
-    return home_15m(readings, date).select(
+    return staged.select(
         F.col("bucket").alias("home_power_reading_key"), home_key.alias("home_key"),
         F.col("bucket").alias("date_key"), "min_consumption_power_wh", "max_consumption_power_wh",
     )
 
 
-def solar_rows(readings: DataFrame, dim_panel: DataFrame, date: Days = None, as_of: bool = False) -> DataFrame:
-    staged = _keyed(solar_15m(readings, date), dim_panel, {"panel_id": "solar_panel_id"}, "solar_panel_key", as_of)
-    return staged.select(
+def home_rows(readings: DataFrame, dim_home: DataFrame, date: Days = None) -> DataFrame:
+    """Staged home facts of one household, whose key is the one current row of the dimension."""
+    return keyed_home(staged_home(readings, date), dim_home)
+
+
+def staged_solar(readings: DataFrame, date: Days = None) -> DataFrame:
+    return solar_15m(readings, date)
+
+
+def keyed_solar(staged: DataFrame, dim_panel: DataFrame, as_of: bool = False) -> DataFrame:
+    return _keyed(staged, dim_panel, {"panel_id": "solar_panel_id"}, "solar_panel_key", as_of).select(
         "solar_panel_key", F.col("bucket").alias("date_key"),
         F.col("panel_id").alias("solar_panel_id"), "generation_power_wh",
     )
 
 
-def battery_rows(
-    readings: DataFrame, dim_battery: DataFrame, date: Days = None, as_of: bool = False,
-    tie_break: list[str] | None = None,
-) -> DataFrame:
+def solar_rows(readings: DataFrame, dim_panel: DataFrame, date: Days = None, as_of: bool = False) -> DataFrame:
+    return keyed_solar(staged_solar(readings, date), dim_panel, as_of)
+
+
+STATE = ["battery_name", "timestamp", "current_energy_wh", "is_charging", "status"]
+
+
+def staged_battery(readings: DataFrame, date: Days = None, tie_break: list[str] | None = None) -> DataFrame:
     """State at the end of each bucket."""
-    cols = ["battery_name", "timestamp", "current_energy_wh", "is_charging", "status", *(tie_break or [])]
     extra = ["day"] if "day" in readings.columns else []
-    rows = last_per_bucket(readings.select(*cols, *extra), "battery_name", "timestamp", tie_break, date)
-    rows = rows.withColumn("battery_id", device_id_from_name(F.col("battery_name")))
+    return last_per_bucket(readings.select(*STATE, *(tie_break or []), *extra), "battery_name", "timestamp", tie_break, date)
+
+
+def keyed_battery(staged: DataFrame, dim_battery: DataFrame, as_of: bool = False) -> DataFrame:
+    rows = staged.withColumn("battery_id", device_id_from_name(F.col("battery_name")))
     return _keyed(rows, dim_battery, {"battery_id": "battery_id"}, "battery_key", as_of).select(
         "battery_key", F.col("bucket").alias("date_key"), "battery_id", "current_energy_wh", "is_charging", "status"
     )
 
 
+def battery_rows(
+    readings: DataFrame, dim_battery: DataFrame, date: Days = None, as_of: bool = False,
+    tie_break: list[str] | None = None,
+) -> DataFrame:
+    return keyed_battery(staged_battery(readings, date, tie_break), dim_battery, as_of)
+
+
 def fact_home(target: DataFrame, readings: DataFrame, dim_home: DataFrame, date: Days = None) -> DataFrame:
     return insert_new(one_month(target, date), home_rows(readings, dim_home, date), ["home_power_reading_key"])
 

@@ -12,7 +12,7 @@ from wattloom.functions.keys import device_id_from_name
 from wattloom.operators.generation import solar_generation
 from wattloom.operators.merge import insert_new, upsert
 from wattloom.operators.quality import CORRUPT, current_violations, length_report, null_report, orphan_keys
-from wattloom.plans import dims, facts
+from wattloom.plans import dims, facts, partials
 from wattloom.schemas import TABLES
 from wattloom.session import scratch
 from wattloom.sinks import tables as sinks
@@ -100,12 +100,9 @@ RAW_READINGS = ("home_power_readings", "solar_panel_readings", "battery_readings
 
 
 def touched_days(lake: Lake, date: str) -> list[str]:
-    """Days that the loads of a day brought readings of, that day included; a few dates."""
-    found = {date}
-    for table in RAW_READINGS:
-        rows = lake.read(table).filter(F.col("load").endswith(f"-{date}")).select(F.col("day").cast("string").alias("d"))
-        found |= {r["d"] for r in rows.distinct().collect()}
-    return sorted(found)
+    """Days that the loads of a date hold readings of, or held before they were replaced, that date included; a few dates from the
+    loads' register. Streamed loads belong to their newest day."""
+    return sorted({date}.union(*(lake.loads(table).parts_of_date(date) for table in RAW_READINGS)))
 
 
 def run_warehouse(
@@ -116,42 +113,54 @@ def run_warehouse(
 
     Batteries are looked up in readings from ``battery_since`` on, by default from the first of these days on; those silent since then
     keep the version that the run of their own days gave them.
-    ``reload`` puts the facts of these days in place of earlier ones, for buckets that late samples complete. Facts
+    ``reload`` lets facts follow the loads instead, whatever the date: buckets that a new or replaced load touches, or touched before, are merged
+    anew from the partial facts of all loads, and go where no load has readings left (see :mod:`wattloom.plans.partials`). Facts
     whose device the dimension lacks go to quarantine; a run after the dimension has it inserts them. Gives their number per table.
     A dimension with two current versions of a device, or a stored fact without its dimension row, stops the run.
     """
     days = None if date is None else touched_days(lake, date)
     bad: dict[str, int] = {}
 
-    def load(table: str, rows: DataFrame, dim: str, business_key: str) -> None:
-        key = TABLES[dim].keys[0]
+    def check(table: str, dim: str, business_key: str) -> None:
         expect_none(current_violations(lake.dim(dim), [business_key]), f"{dim}: not one current version")
-        target = lake.read(table)
-        fresh = rows if reload else insert_new(facts.one_month(target, days), rows, list(TABLES[table].keys))
-        # Written beside first: what follows reads the few fact rows, and does not compute them again.
+
+    def stage(rows: DataFrame, table: str) -> DataFrame:
+        """Written beside first: what follows reads the few fact rows, and does not compute them again."""
         path = scratch(lake.spark, table)
-        fresh.write.parquet(path)
-        fresh = lake.spark.read.schema(fresh.schema).parquet(path)
-        write = lake.replace_fact if reload else lake.append_fact
-        bad[table] = load_checked(lake, fresh, table, f"{'reload' if reload else 'facts'}-{date or 'all'}", lambda good: write(good, table))
-        expect_none(orphan_keys(facts.one_month(lake.read(table), days), lake.dim(dim), key, key), f"{table}: key without {dim}")
+        rows.write.parquet(path)
+        return lake.spark.read.schema(rows.schema).parquet(path)
+
+    def load(table: str, dim: str, business_key: str, keyed: Callable[[DataFrame], DataFrame], staged: Callable[[], DataFrame]) -> None:
+        check(table, dim, business_key)
+        key, label = TABLES[dim].keys[0], f"{'reload' if reload else 'facts'}-{date or 'all'}"
+        if reload:
+            with partials.pending(lake, table) as change:
+                fresh = stage(keyed(change.merged), table)
+                bad[table] = load_checked(lake, fresh, table, label, lambda good: lake.replace_fact(good, table, change.touched))
+        else:
+            target = lake.read(table)
+            fresh = stage(insert_new(facts.one_month(target, days), keyed(staged()), list(TABLES[table].keys)), table)
+            bad[table] = load_checked(lake, fresh, table, label, lambda good: lake.append_fact(good, table))
+        seen = lake.read(table) if reload else facts.one_month(lake.read(table), days)
+        expect_none(orphan_keys(seen, lake.dim(dim), key, key), f"{table}: key without {dim}")
 
     at = F.lit(now).cast("timestamp")
     listed = read_appliances(lake.spark, appliances) if isinstance(appliances, str) else appliances
 
     lake.write_dim(dims.dim_appliances(lake.dim("dim_home_appliances"), listed), "dim_home_appliances")
     lake.write_dim(dims.dim_home(lake.dim("dim_home"), lake.dim("dim_home_appliances"), at), "dim_home")
-    load("fact_home_power_readings", facts.home_rows(lake.read("home_power_readings"), lake.dim("dim_home"), days), "dim_home", "home_id")
+    load("fact_home_power_readings", "dim_home", "home_id", lambda staged: facts.keyed_home(staged, lake.dim("dim_home")),
+         lambda: facts.staged_home(lake.read("home_power_readings"), days))
 
     lake.write_dim(dims.dim_panel(lake.dim("dim_solar_panel"), lake.dim("solar_panel"), at), "dim_solar_panel")
-    solar = facts.solar_rows(lake.read("solar_panel_readings"), lake.dim("dim_solar_panel"), days, as_of)
-    load("fact_solar_panel_power_readings", solar, "dim_solar_panel", "solar_panel_id")
+    load("fact_solar_panel_power_readings", "dim_solar_panel", "solar_panel_id", lambda staged: facts.keyed_solar(staged, lake.dim("dim_solar_panel"), as_of),
+         lambda: facts.staged_solar(lake.read("solar_panel_readings"), days))
 
     readings = lake.read("battery_readings")
     since = battery_since or (days[0] if days else None)
     lake.write_dim(dims.dim_battery(lake.dim("dim_battery"), readings, at, since=since), "dim_battery")
-    battery = facts.battery_rows(readings, lake.dim("dim_battery"), days, as_of)
-    load("fact_battery_power_readings", battery, "dim_battery", "battery_id")
+    load("fact_battery_power_readings", "dim_battery", "battery_id", lambda staged: facts.keyed_battery(staged, lake.dim("dim_battery"), as_of),
+         lambda: facts.staged_battery(readings, days))
     return bad
 
 

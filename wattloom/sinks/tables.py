@@ -13,6 +13,7 @@ from wattloom.functions.timebucket import month_start
 from wattloom.operators.quality import CORRUPT
 from wattloom.schemas import TABLES, as_table, empty_table, no_rows
 from wattloom.session import scratch
+from wattloom.sinks.loads import LoadStore, exists, hadoop, names_in, remove
 from wattloom.sources.catalogues import LOG_PANEL_ID
 
 
@@ -28,8 +29,14 @@ class Lake:
 
     def read(self, table: str) -> DataFrame:
         """A raw or fact table; empty when nothing was written yet."""
+        if "load" in TABLES[table].partitions:
+            return self.loads(table).read()
         return open_table(self.spark, self.path(table), TABLES[table].schema)
 
+    def loads(self, table: str) -> LoadStore:
+        """The loads that a raw table is made of."""
+        return LoadStore(self.spark, self.path(table), TABLES[table].schema)
+
     def dim(self, table: str) -> DataFrame:
         """Last committed version of a dimension."""
         n = self._version(table)
@@ -50,7 +57,7 @@ class Lake:
         """
         n = self._version(table) + 1
         as_table(df, table).write.mode("overwrite").parquet(f"{self.path(table)}/data/v{n}")
-        fs, marker = _hadoop(self.spark, f"{self.path(table)}/commits/v{n}")
+        fs, marker = hadoop(self.spark, f"{self.path(table)}/commits/v{n}")
         fs.create(marker, False).close()
         return n
 
@@ -63,28 +70,34 @@ class Lake:
         keys = [k for k in TABLES[table].keys]
         write_partitioned(placed.hint("rebalance", "month"), self.path(table), ["month"], keys, "append")
 
-    def replace_fact(self, rows: DataFrame, table: str) -> None:
-        """Fact rows in place of those of the same key; only the months that they touch are written again.
+    def replace_fact(self, rows: DataFrame, table: str, gone: DataFrame | None = None) -> None:
+        """Fact rows in place of those of the same key, or of all keys in ``gone``; only the months of these keys are written again.
 
-        The new months are written beside the table first, as a folder can't be read and replaced at once.
+        The new months are written beside the table first, as a folder can't be read and replaced at once. A month that is left without rows goes.
         """
+        keys = [*TABLES[table].keys]
         rows = as_table(rows.withColumn("month", month_start(F.col("date_key"))), table)
-        months = [r["month"] for r in rows.select("month").distinct().collect()]
+        out = rows.select(*keys, "month")
+        if gone is not None:
+            stamp = "date_key" if "date_key" in keys else keys[0]
+            out = out.union(gone.select(*keys, month_start(F.col(stamp)).alias("month"))).distinct()
+        months = [r["month"] for r in out.select("month").distinct().collect()]
         if not months:
             return
         kept = self.read(table).filter(F.col("month").isin(months))
-        keys = [*TABLES[table].keys]
         staged = scratch(self.spark, table)
-        kept.join(rows.select(*keys), keys, "left_anti").select(*rows.columns).unionByName(rows).write.parquet(staged)
+        kept.join(out.select(*keys), keys, "left_anti").select(*rows.columns).unionByName(rows).write.parquet(staged)
         fresh = self.spark.read.schema(rows.schema).parquet(staged)
         write_partitioned(fresh.hint("rebalance", "month"), self.path(table), ["month"], keys, "overwrite")
+        left = {r["month"] for r in fresh.select("month").distinct().collect()}
+        for month in set(months) - left:
+            remove(self.spark, f"{self.path(table)}/month={month}")
 
     def _at(self, table: str, version: int) -> DataFrame:
         return self.spark.read.schema(TABLES[table].schema).parquet(f"{self.path(table)}/data/v{version}")
 
     def _version(self, table: str) -> int:
-        fs, folder = _hadoop(self.spark, f"{self.path(table)}/commits")
-        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        names = names_in(self.spark, f"{self.path(table)}/commits")
         return max((int(n[1:]) for n in names if n.startswith("v")), default=0)
 
     def expire(self, table: str, keep: int = 7) -> int:
@@ -96,22 +109,6 @@ class Lake:
         return len(gone)
 
 
-def _hadoop(spark: SparkSession, path: str):
-    """File system and path object, as the job's own readers and writers see them."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _hadoop(spark, path)
-    return fs.exists(p)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    fs, p = _hadoop(spark, path)
-    fs.delete(p, True)
-
-
 def open_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A parquet folder; no rows when it is not there."""
     return spark.read.schema(schema).parquet(path) if exists(spark, path) else no_rows(spark, schema)
@@ -131,24 +128,22 @@ def _load_raw(lake: Lake, df: DataFrame, table: str, source: str, order: list[st
 
     A load is what comes in one file. Its rows may be of any days; a second run replaces the load as a whole, also by nothing, and
     touches no other. Rows name their load in ``load``; without it all of them are one load, named by the first of ``loads``
-    or the source. No shuffle: a file of one day stays in its tasks. If the job dies between removal and the end of the
-    write, run it again.
+    or the source. No shuffle: a file of one day stays in its tasks. The new rows are written beside the old ones and count once all are there.
     """
     loads = loads or [source]
     placed = df.withColumn("day", F.to_date("timestamp")).withColumn("source", F.lit(source))
     if "load" not in df.columns:
         placed = placed.withColumn("load", F.lit(loads[0]))
-    for load in loads:
-        remove(lake.spark, f"{lake.path(table)}/load={load}")
-    write_partitioned(as_table(placed, table), lake.path(table), ["load", "day"], order, "append")
+    store = lake.loads(table)
+    version = store.next_version()
+    made = dict.fromkeys(loads, version)
+    store.write(as_table(placed, table).withColumn("version", F.lit(version)), made, order)
+    store.commit(made)
 
 
 def drop_days(lake: Lake, table: str, before: str) -> int:
     """Remove the raw day folders before a date; how many there were. Facts and dimensions stay."""
-    found = lake.read(table).filter(F.col("day") < F.lit(before).cast("date")).select("load", "day").distinct().collect()
-    for r in found:
-        remove(lake.spark, f"{lake.path(table)}/load={r['load']}/day={r['day']}")
-    return len(found)
+    return lake.loads(table).drop_parts(before)
 
 
 def _carried(df: DataFrame) -> list[str]:

@@ -88,6 +88,26 @@ def fact_late_bucket(t: Tables) -> DataFrame:
     return fact_rows(lake)
 
 
+# What is left of the readings after the second file came again with every other reading of it and without its last days.
+SHRUNK = """(SELECT * FROM readings WHERE NOT (timestamp >= TIMESTAMP '2024-01-16' OR event_id % 7 = 0)
+  OR (event_id % 2 = 0 AND timestamp < TIMESTAMP '2024-01-25'))"""
+
+
+@query("fact_shrunk_load", FLOW_SQL.replace("FROM readings", f"FROM {SHRUNK} AS readings"))
+def fact_shrunk_load(t: Tables) -> DataFrame:
+    """A load is replaced by a smaller one: buckets lose a share, or vanish with all their readings."""
+    lake, inputs = in_two_files(t)
+    for date in ("2024-01-15", "2024-01-31"):
+        run_raw(lake, inputs, date, "log")
+    run_warehouse(lake, one_home(t), None, NOW, reload=True)
+    late = (F.col("timestamp") >= at(MIDDLE)) | (F.col("event_id") % 7 == 0)
+    again = t.scratch("inputs")
+    files_of(t, t.readings().filter(late & (F.col("event_id") % 2 == 0) & (F.col("timestamp") < at("2024-01-25"))), "2024-01-31", again)
+    run_raw(lake, again, "2024-01-31", "log")
+    run_warehouse(lake, one_home(t), "2024-01-31", NOW, reload=True)
+    return fact_rows(lake)
+
+
 @query("fact_late_dimension", f"""WITH {READINGS} SELECT p AS panel_id, bucket, round(sum({F4.format('min_consumption_wh')}), 3) AS wh, CAST(p AS BIGINT) * 100000000 + 20240201 AS solar_panel_key
 FROM readings, (SELECT unnest([4, 5]) AS p) GROUP BY p, bucket""")
 def fact_late_dimension(t: Tables) -> DataFrame:
