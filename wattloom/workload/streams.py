@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from wattloom.plans.flows import load_panels, run_warehouse
 from wattloom.sinks import tables as sinks
 from wattloom.sinks.tables import Lake, open_table
-from wattloom.streaming import jobs
+from wattloom.operators import bucketing
+from wattloom.streaming import jobs, state
 from wattloom.workload.base import NOW, READINGS, Tables, query
 from wattloom.workload.files import F4, FLOW_SQL, STAMP, battery_log, doubled, fact_rows, power_log, write_json
 
@@ -98,6 +99,42 @@ def stream_ingest_then_warehouse(t: Tables) -> DataFrame:
     return fact_rows(lake)
 
 
+STATES = "event_id BIGINT, timestamp TIMESTAMP, panel_id INT, value DOUBLE, props STRING"
+SLICES = 5
+
+
+def in_slices(t: Tables) -> DataFrame:
+    """Events as a stream of files that overlap: every other event comes one slice of six days late."""
+    folder = t.scratch("slices")
+    events = t["events"].select("event_id", F.col("ts").cast("timestamp").alias("timestamp"), F.col("user_id").cast("int").alias("panel_id"), "value", "props")
+    late = F.least(F.lit(SLICES - 1), F.floor((F.dayofmonth("timestamp") - 1) / 6) + F.col("event_id") % 2)
+    for n in range(SLICES):
+        events.filter(late == n).coalesce(1).write.mode("append").parquet(folder)
+    return t.spark.readStream.schema(STATES).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def out_of(t: Tables, stream: DataFrame) -> DataFrame:
+    out = t.scratch("stream-out")
+    jobs.write_stream(stream, out, t.scratch("stream-state")).awaitTermination()
+    return t.spark.read.schema(stream.schema).parquet(out)
+
+
+@query("stream_last_per_bucket", f"""WITH {READINGS}, mark AS (SELECT max(timestamp) - INTERVAL '13 days' AS w FROM readings),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY bucket, panel_id ORDER BY timestamp DESC) AS rn FROM readings)
+SELECT bucket, panel_id, event_id, timestamp, current_energy_wh AS value FROM ranked, mark WHERE rn = 1 AND bucket + INTERVAL '15 minutes' <= date_trunc('millisecond', w)""")
+def stream_last_per_bucket(t: Tables) -> DataFrame:
+    """Buckets that the watermark has closed, from files out of order."""
+    rows = out_of(t, state.last_per_bucket(in_slices(t), "panel_id", late="13 days"))
+    return rows.select("bucket", "panel_id", "event_id", "timestamp", "value")
+
+
+@query("stream_latest_state", f"""WITH {READINGS} SELECT panel_id, arg_max(event_id, timestamp) AS event_id, max(timestamp) AS timestamp, arg_max(current_energy_wh, timestamp) AS value FROM readings GROUP BY panel_id""")
+def stream_latest_state(t: Tables) -> DataFrame:
+    """The last word on each device; states are given up after a silent day and begun anew."""
+    rows = out_of(t, state.latest_state(in_slices(t), "panel_id", late="13 days", idle="1 day"))
+    return bucketing.latest_state(rows, "panel_id").select("panel_id", "event_id", "timestamp", "value")
+
+
 @query("stream_late_days", FLOW_SQL)
 def stream_late_days(t: Tables) -> DataFrame:
     """Streamed loads bring late samples of days before their newest; the dated run of that day finds them in the register, and facts follow."""
