@@ -13,21 +13,32 @@ from pyspark.sql import functions as F
 from wattloom.functions.predicates import current
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of a frame as the optimizer estimates it from statistics; no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def will_broadcast(df: DataFrame) -> bool:
+    """Whether Catalyst broadcasts the frame as a join side, by its estimate and the session's threshold."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return estimated_bytes(df) <= limit
+
+
 def spread_join(
     left: DataFrame, right: DataFrame, on: dict[str, str], how: str,
     spread_by: list[str], extra: list[Column] | None = None, salts: int = 8,
 ) -> DataFrame:
     """Equi-join (inner or left) where one key may hold much of ``left``.
 
-    Each left row goes to one of ``salts`` groups of its key, by a hash of ``spread_by``; the right
-    side is repeated once per group (so a broadcast holds at most ``salts`` times the threshold). The result is that of the plain join. ``on`` maps left to right
-    column; the names must differ, and the right ones are dropped.
+    A right side that is known to be small is left to Catalyst, which broadcasts it: no row of ``left`` moves. Otherwise each left
+    row goes to one of ``salts`` groups of its key, by a hash of ``spread_by``, and the right side is repeated once per group. The
+    result is that of the plain join. ``on`` maps left to right column; the names must differ, and the right ones are dropped.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"spread_join repeats the right side, so it cannot do a {how} join")
     l, r = left, right
     condition = [F.col(a) == F.col(b) for a, b in on.items()] + (extra or [])
-    if salts > 1:
+    if salts > 1 and not will_broadcast(right):
         l = left.withColumn("_l_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
         r = right.withColumn("_r_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         condition.append(F.col("_l_salt") == F.col("_r_salt"))

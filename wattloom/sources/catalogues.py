@@ -20,7 +20,11 @@ APPLIANCES = "MAP<STRING, STRUCT<consumption: ARRAY<DOUBLE>, time: STRING>>"
 
 
 def panel_catalogue(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PANELS, TABLES["solar_panel"].schema)
+    """As literal rows, so the optimizer knows how few they are."""
+    rows = ", ".join(f"({', '.join(repr(v) for v in p)})" for p in PANELS)
+    fields = TABLES["solar_panel"].schema.fields
+    named = spark.sql(f"SELECT * FROM VALUES {rows} AS panel({', '.join(f.name for f in fields)})")
+    return named.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields))
 
 
 def parse_appliances(documents: DataFrame, home_key: int | str = 1) -> DataFrame:

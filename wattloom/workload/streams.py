@@ -10,7 +10,7 @@ from wattloom.plans.flows import load_panels, run_warehouse
 from wattloom.sinks import tables as sinks
 from wattloom.sinks.tables import Lake, open_table
 from wattloom.operators import bucketing
-from wattloom.streaming import jobs, state
+from wattloom.streaming import jobs, state, upsample
 from wattloom.workload.base import NOW, READINGS, Tables, query
 from wattloom.workload.files import F4, FLOW_SQL, STAMP, battery_log, doubled, fact_rows, power_log, write_json
 
@@ -135,6 +135,17 @@ def stream_latest_state(t: Tables) -> DataFrame:
     return bucketing.latest_state(rows, "panel_id").select("panel_id", "event_id", "timestamp", "value")
 
 
+@query("stream_upsample", """WITH s AS (SELECT CAST(user_id % 3 AS INTEGER) AS site, epoch_us(ts) // 3600000000 * 3600000000 AS slot, avg(value) AS v FROM events GROUP BY ALL),
+sure AS (SELECT s.*, lead(slot) OVER w AS nslot, lead(v) OVER w AS nv FROM s WHERE slot + 3600000000 <= (SELECT epoch_us(date_trunc('millisecond', max(ts) - INTERVAL '13 days')) FROM events) WINDOW w AS (PARTITION BY site ORDER BY slot)),
+steps AS (SELECT *, unnest(generate_series(slot, nslot - 3600000000, 3600000000)) AS g FROM sure WHERE nslot IS NOT NULL)
+SELECT site, make_timestamp(g) AS timestamp, round(v + (nv - v) * ((g - slot)::DOUBLE / (nslot - slot)), 6) AS value FROM steps""")
+def stream_upsample(t: Tables) -> DataFrame:
+    """Events of three sites on a grid of hours, from files out of order."""
+    rows = in_slices(t).withColumn("site", F.col("panel_id") % 3)
+    dense = out_of(t, upsample.upsample(rows, "timestamp", ["value"], 3_600_000_000, ["site"], late="13 days"))
+    return dense.withColumn("value", F.round("value", 6))
+
+
 @query("stream_late_days", FLOW_SQL)
 def stream_late_days(t: Tables) -> DataFrame:
     """Streamed loads bring late samples of days before their newest; the dated run of that day finds them in the register, and facts follow."""
