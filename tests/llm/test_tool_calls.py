@@ -1,8 +1,9 @@
 import json
+import random
 
 import pytest
 
-from wattloom.llm.tool_calls import assembled, canonical, errors, linked, parse
+from wattloom.llm.tool_calls import assembled, by_rounds, canonical, errors, linked, order, parse, settled
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 
@@ -84,3 +85,56 @@ def test_several_responses_in_one_message(spark):
     assert [t for _, t in sorted((k for k in out if k[0] == 1), key=lambda k: (out[k].position, out[k].depth, k[1]))] == [2, 0, 1, 3]
     assert json.loads(out[1, 0].json)["tool_call_ids"] == ["a", "b"] and json.loads(out[2, 1].json)["tool_call_id"] == "a"
     assert out[1, 1].depth == out[1, 0].depth + 1  # by its $ref to the first of both results
+
+
+def test_surrogates_and_malformed_schemas_do_not_end_the_job(spark):
+    odd = ['{"tool_calls": [{"id": "a\\ud800", "function": {"name": "f\\udfff", "arguments": "{\\"x\\": \\"\\\\ud800\\"}"}}]}', '{"tool_call_id": "a\\ud800", "content": "c\\udc00"}', '{"tools": [{"name": "f", "parameters": {"k": "\\ud900"}}]}']
+    deep = '{"tool_calls": [' + '{"a":[' * 3000 + "]}" * 3000 + "]}"
+    rules = [{"enum": 5}, {"minLength": "x"}, {"required": 5}, {"required": [1, "a"]}, {"type": {}}, {"type": [["x"]]}, {"properties": 3}, {"items": 7}, {"maximum": True}]
+    rows = [(1, i, "assistant", t) for i, t in enumerate([*odd, deep, odd[0]])]
+    rows += [(2 + i, 0, "system", json.dumps({"tools": [{"name": "g", "parameters": r}]})) for i, r in enumerate(rules)]
+    rows += [(2 + i, 1, "assistant", json.dumps({"tool_calls": [call("z", "g", a="text", b=[1])]})) for i in range(len(rules))]
+    got = {(r.conv_id, r.turn): r for r in linked(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(got) == len(rows) and json.loads(got[1, 0].json)["tool_calls"][0]["id"] == "a\ufffd" and got[1, 0].n_answered == 1
+    assert json.loads(json.loads(got[1, 0].json)["tool_calls"][0]["function"]["arguments"]) == {"x": "\ud800"}
+    assert [got[2 + i, 1].n_invalid for i in range(len(rules))] == [1, 1, 1, 1, 1, 1, 1, 0, 1]
+
+
+def test_any_schema_gives_errors_and_no_exception():
+    rnd = random.Random(1)
+    values = [None, True, 0, -3, 2.5, float("inf"), "", "abc", [], [1, "x"], {}, {"a": 1, "b": [None]}]
+    keys = ["type", "enum", "minimum", "maximum", "minLength", "maxLength", "minItems", "maxItems", "required", "properties", "items", "additionalProperties"]
+    for _ in range(20000):
+        rule = {k: rnd.choice([*values, "string", "integer", ["a"], ["string", "null"], {"a": {"type": "integer"}}, False]) for k in rnd.sample(keys, rnd.randint(0, 4))}
+        assert all(isinstance(e, str) for e in errors(rnd.choice(values), rule))
+
+
+def plain_order(edges, own):
+    """Positions pushed along edges until nothing moves or a node is deeper than there are edges."""
+    at = {v: (own[v], 0) for e in edges for v in e}
+    for _ in range(3 * len(edges) + 3):
+        for a, b in edges:
+            if at[b][1] <= len(edges):
+                at[b] = max(at[b], (at[a][0], at[a][1] + 1))
+    return {v: (own[v], 0, True) if d > len(edges) else (p, d, False) for v, (p, d) in at.items()}
+
+
+def test_order_equals_pushing(spark):
+    rnd = random.Random(2)
+    for _ in range(300):
+        n = rnd.randint(2, 9)
+        edges = sorted({(a, b) for a, b in ((rnd.randrange(n), rnd.randrange(n)) for _ in range(rnd.randint(1, 14))) if a != b})
+        own = {v: rnd.randint(0, 6) for v in range(n)}
+        if edges:
+            got = settled([a for a, _ in edges], [b for _, b in edges], {v: own[v] for e in edges for v in e})
+            assert got == plain_order(edges, own)
+    chain = [(k, k + 1) for k in range(4000)] + [(4000, 3900)]
+    got = settled([a for a, _ in chain], [b for _, b in chain], dict.fromkeys(range(4001), 5))
+    assert got[3899] == (5, 3899, False) and got[3900][2] and got[4000][2]
+
+
+def test_large_conversations_are_ordered_alike(spark):
+    edges = spark.createDataFrame([(1, 0, 1), (1, 1, 2), (1, 2, 1), (1, 2, 3), (2, 4, 5)], "conv_id long, src long, dst long")
+    turns = spark.createDataFrame([(k, t) for k, t in enumerate([3, 1, 2, 9, 8, 0])], "row long, own long")
+    want = sorted(map(tuple, order(edges, turns).collect()))
+    assert want == sorted(map(tuple, order(edges, turns, most=1).collect())) == sorted(map(tuple, by_rounds(edges, turns).collect()))

@@ -22,6 +22,8 @@ from wattloom.llm.base import query, stored, table
 
 TAG = re.compile(r"<(tool_call|tool_response)>(.*?)</\1>", re.S)
 LAST = 2**62  # turn of messages without one
+EDGES = 1_000_000  # a conversation with more dependencies is ordered round by round, all others in one task each
+_LONE = re.compile("[\ud800-\udfff]")
 TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "number": (int, float), "integer": int, "null": type(None)}
 CALLS = "array<struct<id:string,name:string,arguments:string,refs:array<string>>>"
 
@@ -37,7 +39,13 @@ def canonical(value) -> str:
             return None if v != v or abs(v) == float("inf") else int(v) if v == int(v) and abs(v) < 2**53 else v
         return v
 
-    return json.dumps(plain(value), sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+    told = json.dumps(plain(value), sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+    return _LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", told)
+
+
+def whole_text(text: str) -> str:
+    """Halves of surrogate pairs, which JSON escapes can name and a column can't hold, become U+FFFD."""
+    return _LONE.sub("\ufffd", text)
 
 
 def loads(text):
@@ -48,27 +56,38 @@ def loads(text):
 
 
 def errors(value, schema, at: str = "$") -> list[str]:
-    """What is wrong with ``value``: type, required, properties, additionalProperties, items, enum, and bounds of numbers and lengths."""
+    """What is wrong with ``value``: type, required, properties, additionalProperties, items, enum, and bounds of numbers and lengths.
+
+    A keyword whose own value makes no sense (``enum: 5``, ``required: "a"``) is the error ``schema`` there and checks nothing.
+    """
     if not isinstance(schema, dict):
         return []
-    kinds = schema.get("type")
-    if kinds is not None:
-        kinds = kinds if isinstance(kinds, list) else [kinds]
-        whole = isinstance(value, float) and value == int(value) if isinstance(value, float) and abs(value) < 1e300 else False
-        if not any(isinstance(value, TYPES.get(k, object)) and not (isinstance(value, bool) and k in ("integer", "number")) or (k == "integer" and whole) for k in kinds):
-            return [f"{at}: type"]
     out = []
-    if "enum" in schema and value not in schema["enum"]:
+
+    def given(key: str, good) -> bool:
+        if key in schema and not good(schema[key]):
+            out.append(f"{at}: schema")
+            return False
+        return key in schema
+
+    number = lambda v: isinstance(v, (int, float)) and not isinstance(v, bool)
+    names = lambda v: isinstance(v, list) and all(isinstance(x, str) for x in v)
+    if given("type", lambda v: isinstance(v, str) or names(v)):
+        kinds = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
+        whole = isinstance(value, float) and abs(value) < 1e300 and value == int(value)
+        if not any(isinstance(value, TYPES.get(k, object)) and not (isinstance(value, bool) and k in ("integer", "number")) or (k == "integer" and whole) for k in kinds):
+            return [*out, f"{at}: type"]
+    if given("enum", lambda v: isinstance(v, list)) and value not in schema["enum"]:
         out.append(f"{at}: enum")
-    if isinstance(value, (int, float)) and not isinstance(value, bool):
-        out += [f"{at}: {k}" for k, bad in (("minimum", lambda b: value < b), ("maximum", lambda b: value > b)) if isinstance(schema.get(k), (int, float)) and bad(schema[k])]
-    if isinstance(value, (str, list)):
-        low, high = ("minLength", "maxLength") if isinstance(value, str) else ("minItems", "maxItems")
-        out += [f"{at}: {low}"] if len(value) < schema.get(low, 0) else []
-        out += [f"{at}: {high}"] if len(value) > schema.get(high, len(value)) else []
+    for low, high, kind, size in (("minimum", "maximum", number, lambda v: v), ("minLength", "maxLength", lambda v: isinstance(v, str), len), ("minItems", "maxItems", lambda v: isinstance(v, list), len)):
+        there = given(low, number), given(high, number)
+        if kind(value):
+            out += [f"{at}: {low}"] if there[0] and size(value) < schema[low] else []
+            out += [f"{at}: {high}"] if there[1] and size(value) > schema[high] else []
+    known = schema["properties"] if given("properties", lambda v: isinstance(v, dict)) else {}
+    required = schema["required"] if given("required", names) else []
     if isinstance(value, dict):
-        known = schema.get("properties") if isinstance(schema.get("properties"), dict) else {}
-        out += [f"{at}.{k}: required" for k in sorted(schema.get("required") or []) if k not in value]
+        out += [f"{at}.{k}: required" for k in sorted(required) if k not in value]
         for k in sorted(value):
             if k in known:
                 out += errors(value[k], known[k], f"{at}.{k}")
@@ -94,24 +113,32 @@ def _call(c) -> dict | None:
     name, ident = f.get("name"), c.get("id")
     if not isinstance(name, str):
         return None
-    given = canonical(args) if args is not None or f.get("arguments") is None else str(f.get("arguments"))
-    return {"id": None if ident is None else str(ident), "name": name, "arguments": given, "refs": refs(args)}
+    given = canonical(args) if args is not None or f.get("arguments") is None else whole_text(str(f.get("arguments")))
+    return {"id": None if ident is None else whole_text(str(ident)), "name": whole_text(name), "arguments": given, "refs": [whole_text(r) for r in refs(args)]}
 
 
 def parse(role: str | None, text: str | None) -> dict:
-    """Content, calls, identifiers of the answered calls (each once; None without any), and declared schemas of one message."""
+    """Content, calls, identifiers of the answered calls (each once; None without any), and declared schemas of one message. JSON nested
+    too deeply to be read is content."""
+    try:
+        return _parsed(text)
+    except RecursionError:
+        return {"content": text, "calls": [], "answers": None, "schemas": []}
+
+
+def _parsed(text: str | None) -> dict:
     out = {"content": text, "calls": [], "answers": None, "schemas": []}
     whole = loads(text) if text and text.lstrip()[:1] == "{" else None
     if isinstance(whole, dict) and (whole.keys() & {"tool_calls", "tool_call_id", "tools"}):
         content = whole.get("content")
-        out["content"] = content if content is None or isinstance(content, str) else canonical(content)
+        out["content"] = content if content is None else whole_text(content) if isinstance(content, str) else canonical(content)
         calls, tools = whole.get("tool_calls"), whole.get("tools")
         out["calls"] = [c for c in map(_call, calls if isinstance(calls, list) else []) if c]
-        out["answers"] = None if whole.get("tool_call_id") is None else [str(whole["tool_call_id"])]
+        out["answers"] = None if whole.get("tool_call_id") is None else [whole_text(str(whole["tool_call_id"]))]
         for t in tools if isinstance(tools, list) else []:
             f = t.get("function", t) if isinstance(t, dict) else {}
             if isinstance(f, dict) and isinstance(f.get("name"), str):
-                out["schemas"].append({"name": f["name"], "schema": canonical(f.get("parameters") or {})})
+                out["schemas"].append({"name": whole_text(f["name"]), "schema": canonical(f.get("parameters") or {})})
     elif text and "<tool_" in text:
         answers = []
         for m in TAG.finditer(text):
@@ -119,7 +146,7 @@ def parse(role: str | None, text: str | None) -> dict:
             if m[1] == "tool_call" and (c := _call(got)):
                 out["calls"].append(c)
             elif m[1] == "tool_response" and isinstance(got, dict) and got.get("tool_call_id") is not None:
-                answers.append(str(got["tool_call_id"]))
+                answers.append(whole_text(str(got["tool_call_id"])))
         out["answers"] = list(dict.fromkeys(answers)) or None
         if out["calls"] or out["answers"] is not None:
             out["content"] = TAG.sub("", text).strip() if out["calls"] else text
@@ -138,13 +165,84 @@ def messages(chats: DataFrame) -> DataFrame:
     return stored(rows.mapInPandas(read, f"row long, conv_id long, turn long, role string, content string, calls {CALLS}, answers array<string>, schemas array<struct<name:string,schema:string>>"), "messages")
 
 
-def order(edges: DataFrame, turns: DataFrame) -> DataFrame:
+def settled(src: list[int], dst: list[int], own: dict[int, int]) -> dict[int, tuple[int, int, bool]]:
+    """Position, depth and whether it is cyclic of every node of one conversation's edges; time in proportion to the edges.
+
+    A node stands at the largest turn among itself and what comes before it, as many steps deep as the longest way from there. Nodes are taken by
+    strongly connected components, in order; where a component is a cycle, or the place comes from one, there is no depth: the node is cyclic.
+    """
+    after: dict[int, list[int]] = {}
+    before: dict[int, list[int]] = {}
+    for a, b in zip(src, dst, strict=True):
+        after.setdefault(a, []).append(b)
+        before.setdefault(b, []).append(a)
+    number: dict[int, int] = {}
+    low: dict[int, int] = {}
+    held: list[int] = []
+    inside: set[int] = set()
+    parts: list[list[int]] = []  # each behind all it leads to
+    path: list[tuple] = []
+
+    def enter(node: int) -> None:
+        number[node] = low[node] = len(number)
+        held.append(node)
+        inside.add(node)
+        path.append((node, iter(after.get(node, ()))))
+
+    for start in own:
+        if start not in number:
+            enter(start)
+        while path:
+            node, rest = path[-1]
+            nxt = next(rest, None)
+            if nxt is not None:
+                if nxt not in number:
+                    enter(nxt)
+                elif nxt in inside:
+                    low[node] = min(low[node], number[nxt])
+                continue
+            path.pop()
+            if path:
+                low[path[-1][0]] = min(low[path[-1][0]], low[node])
+            if low[node] == number[node]:
+                part = [held.pop()]
+                while part[-1] != node:
+                    part.append(held.pop())
+                inside.difference_update(part)
+                parts.append(part)
+    place: dict[int, tuple[int, float]] = {}
+    for part in reversed(parts):
+        members = set(part)
+        best = max([(own[v], 0) for v in part] + [(place[u][0], place[u][1] + 1) for v in part for u in before.get(v, ()) if u not in members])
+        for v in part:
+            place[v] = (best[0], float("inf")) if len(part) > 1 else best
+    return {v: (own[v], 0, True) if d == float("inf") else (p, int(d), False) for v, (p, d) in place.items()}
+
+
+def order(edges: DataFrame, turns: DataFrame, most: int = EDGES) -> DataFrame:
     """``row``, ``position``, ``depth``, ``cyclic`` of messages with dependencies: ``src`` before ``dst``.
 
-    Positions only move up along edges until nothing moves. On a cycle depths would grow for ever; a message deeper than there
-    are edges in its conversation is on one or behind one, and keeps its own turn.
+    A conversation of up to ``most`` edges is ordered in one task, which sees numbers only. In larger ones positions move up along the
+    edges round by round until nothing moves; a message deeper than there are edges in its conversation is on a cycle or behind one. Cyclic
+    messages keep their own turn.
     """
     edges = stored(edges.filter("src <> dst").select("conv_id", "src", "dst").distinct(), "edges")
+    large = stored(edges.groupBy("conv_id").count().filter(F.col("count") > most).select("conv_id"), "large")
+    one = lambda c: turns.select(F.col("row").alias(c), F.col("own").alias(f"{c}_own"))
+
+    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
+        src, dst = pdf.src.tolist(), pdf.dst.tolist()
+        own = dict(zip(src + dst, pdf.src_own.tolist() + pdf.dst_own.tolist(), strict=True))
+        return pd.DataFrame([(v, *p) for v, p in settled(src, dst, own).items()], columns=["row", "position", "depth", "cyclic"])
+
+    small = edges.join(large, "conv_id", "left_anti").join(one("src"), "src").join(one("dst"), "dst")
+    done = small.groupBy("conv_id").applyInPandas(settle, "row long, position long, depth long, cyclic boolean")
+    return done if large.isEmpty() else done.unionByName(by_rounds(edges.join(large, "conv_id", "left_semi"), turns))
+
+
+def by_rounds(edges: DataFrame, turns: DataFrame) -> DataFrame:
+    """The same for edges of conversations of any size, by a written table a round."""
+    edges = stored(edges, "edges")
     limit = edges.groupBy("conv_id").agg(F.count("*").alias("most"))
     ends = edges.select("conv_id", F.col("src").alias("row")).union(edges.select("conv_id", "dst")).distinct()
     at = ends.join(turns, "row").join(limit, "conv_id").select("row", "own", "most", F.col("own").alias("position"), F.lit(0).cast("long").alias("depth"))
