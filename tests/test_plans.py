@@ -7,7 +7,7 @@ from wattloom.workload import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 FILES = {"daily_flows", "stream_tumbling_15m", "stream_drop_repeats", "stream_ingest_logs", "stream_ingest_batteries", "stream_insert_new"}
-SLOW = {"fact_shrunk_load", "stream_late_days", "scd2_late_changes", "scd2_late_spans", "stream_last_per_bucket", "stream_latest_state", "stream_upsample"}
+SLOW = {"fact_shrunk_load", "stream_late_days", "scd2_late_changes", "scd2_late_spans", "dim_history_parts", "stream_last_per_bucket", "stream_latest_state", "stream_upsample"}
 
 
 def plan(spark, name):

@@ -109,9 +109,10 @@ def scd2_open(
 
 def scd2_apply(
     dim: DataFrame, source: DataFrame, business_key: list[str], tracked: list[str],
-    now: Column, key: CompositeKey | DenseKey, null_safe: bool = False,
+    now: Column, key: CompositeKey | DenseKey, null_safe: bool = False, known: DataFrame | None = None,
 ) -> DataFrame:
-    """Close and open in one pass: the whole dimension afterwards.
+    """Close and open in one pass: the whole dimension afterwards. Given the current rows alone, it is the current rows and the newly
+    closed ones; ``known`` then is the whole dimension, for the largest key in use.
 
     One full outer join of current versions and source; a changed pair gives two rows, the closed
     version and its successor. Keys missing from the source stay current.
@@ -129,7 +130,7 @@ def scd2_apply(
     )
     opened = F.struct(*_opened_columns(dim, source, now, "s"), F.lit(True).alias(OPENED))
     versions = F.array_compact(F.array(F.when(in_t, kept), F.when(in_s & (~in_t | ends), opened)))
-    rows = key.fill(dim, joined.select(F.inline(versions))).drop(OPENED)
+    rows = key.fill(dim if known is None else known, joined.select(F.inline(versions))).drop(OPENED)
     return _past(dim).unionByName(rows)
 
 

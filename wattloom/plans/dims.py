@@ -26,10 +26,10 @@ def home_load(appliances: DataFrame) -> DataFrame:
     return appliances.groupBy(F.col("home_key").alias("home_id")).agg(*(F.sum(c).alias(c) for c in RATED))
 
 
-def dim_home(dim: DataFrame, appliances: DataFrame, now: Column) -> DataFrame:
-    """Type 2 on total load, dense keys."""
+def dim_home(dim: DataFrame, appliances: DataFrame, now: Column, known: DataFrame | None = None) -> DataFrame:
+    """Type 2 on total load, dense keys; ``known`` as in :func:`scd2_apply`."""
     key = DenseKey("home_key", ("home_id",))
-    return scd2_apply(dim, home_load(appliances), ["home_id"], RATED, now, key)
+    return scd2_apply(dim, home_load(appliances), ["home_id"], RATED, now, key, known=known)
 
 
 def dim_panel(dim: DataFrame, panels: DataFrame, now: Column, resolution: str = "day") -> DataFrame:

@@ -148,17 +148,17 @@ def run_warehouse(
     listed = read_appliances(lake.spark, appliances) if isinstance(appliances, str) else appliances
 
     lake.write_dim(dims.dim_appliances(lake.dim("dim_home_appliances"), listed), "dim_home_appliances")
-    lake.write_dim(dims.dim_home(lake.dim("dim_home"), lake.dim("dim_home_appliances"), at), "dim_home")
+    lake.write_changes(dims.dim_home(lake.current("dim_home"), lake.dim("dim_home_appliances"), at, lake.dim("dim_home")), "dim_home")
     load("fact_home_power_readings", "dim_home", "home_id", lambda staged: facts.keyed_home(staged, lake.dim("dim_home")),
          lambda: facts.staged_home(lake.read("home_power_readings"), days))
 
-    lake.write_dim(dims.dim_panel(lake.dim("dim_solar_panel"), lake.dim("solar_panel"), at), "dim_solar_panel")
+    lake.write_changes(dims.dim_panel(lake.current("dim_solar_panel"), lake.dim("solar_panel"), at), "dim_solar_panel")
     load("fact_solar_panel_power_readings", "dim_solar_panel", "solar_panel_id", lambda staged: facts.keyed_solar(staged, lake.dim("dim_solar_panel"), as_of),
          lambda: facts.staged_solar(lake.read("solar_panel_readings"), days))
 
     readings = lake.read("battery_readings")
     since = battery_since or (days[0] if days else None)
-    lake.write_dim(dims.dim_battery(lake.dim("dim_battery"), readings, at, since=since), "dim_battery")
+    lake.write_changes(dims.dim_battery(lake.current("dim_battery"), readings, at, since=since), "dim_battery")
     load("fact_battery_power_readings", "dim_battery", "battery_id", lambda staged: facts.keyed_battery(staged, lake.dim("dim_battery"), as_of),
          lambda: facts.staged_battery(readings, days))
     return bad
@@ -176,8 +176,10 @@ def load_calendar(lake: Lake, start: str, end: str) -> None:
 
 
 def retain(lake: Lake, before: str, versions: int = 7) -> dict[str, int]:
-    """Remove raw readings of days before a date, and all but the newest versions of dimensions; the number of day folders per table."""
+    """Remove raw readings of days before a date, and all but the newest versions of dimensions, whose histories are put together where they have
+    many parts; the number of day folders per table."""
     for table, spec in TABLES.items():
         if not spec.partitions:
+            lake.compact(table)
             lake.expire(table, versions)
     return {table: sinks.drop_days(lake, table, before) for table in RAW_READINGS}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,10 +41,16 @@ class Lake:
     def dim(self, table: str) -> DataFrame:
         """Last committed version of a dimension."""
         n = self._version(table)
-        return empty_table(self.spark, table) if n == 0 else self._at(table, n)
+        return empty_table(self.spark, table) if n == 0 else self.dim_at(table, n)
 
     def dim_at(self, table: str, version: int) -> DataFrame:
-        return self._at(table, version)
+        parts = self._parts(table, version)
+        return self._read_parts(table, [f"v{parts['live']}/part=live", *(f"v{k}/part=past" for k in parts["past"])])
+
+    def current(self, table: str) -> DataFrame:
+        """The current rows of a type-2 dimension; closed history is not read."""
+        n = self._version(table)
+        return empty_table(self.spark, table) if n == 0 else self._read_parts(table, [f"v{self._parts(table, n)['live']}/part=live"])
 
     def versions(self, table: str) -> int:
         return self._version(table)
@@ -55,12 +62,52 @@ class Lake:
         half-way leaves the old version in place and its own folder is replaced by the next run. One writer at a
         time: a second one fails when it makes the same marker.
         """
+        return self._commit(df, table, [])
+
+    def write_changes(self, df: DataFrame, table: str) -> int:
+        """Write the next version of a type-2 dimension from its current rows and those that a load has closed.
+
+        Closed history is append-only: a version names the parts that it is made of, so a load writes the current rows and
+        what it closes, however much history there is. :meth:`compact` puts the parts together.
+        """
+        n = self._version(table)
+        return self._commit(df, table, self._parts(table, n)["past"] if n else [])
+
+    def compact(self, table: str, most: int = 16) -> bool:
+        """Put the parts of a dimension's history together once there are more than ``most``; whether it did."""
+        n = self._version(table)
+        if n == 0 or len(self._parts(table, n)["past"]) <= most:
+            return False
+        self.write_dim(self.dim(table), table)
+        return True
+
+    def _commit(self, df: DataFrame, table: str, past: list[int]) -> int:
         n = self._version(table) + 1
-        as_table(df, table).write.mode("overwrite").parquet(f"{self.path(table)}/data/v{n}")
+        folder = f"{self.path(table)}/data/v{n}"
+        rows = as_table(df, table)
+        live = F.when(F.col("current_flag"), "live").otherwise("past") if "current_flag" in rows.columns else F.lit("live")
+        rows.withColumn("part", live).write.mode("overwrite").partitionBy("part").parquet(folder)
+        closed = [n] if exists(self.spark, f"{folder}/part=past") else []
         fs, marker = hadoop(self.spark, f"{self.path(table)}/commits/v{n}")
-        fs.create(marker, False).close()
+        stream = fs.create(marker, False)
+        stream.write(bytearray(json.dumps({"live": n, "past": [*past, *closed]}).encode()))
+        stream.close()
         return n
 
+    def _parts(self, table: str, version: int) -> dict:
+        fs, marker = hadoop(self.spark, f"{self.path(table)}/commits/v{version}")
+        stream = fs.open(marker)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def _read_parts(self, table: str, parts: list[str]) -> DataFrame:
+        """A part without rows has no folder."""
+        data = f"{self.path(table)}/data"
+        there = [f"{data}/{p}" for p in parts if exists(self.spark, f"{data}/{p}")]
+        return self.spark.read.schema(TABLES[table].schema).parquet(*there) if there else empty_table(self.spark, table)
+
     def append_fact(self, new: DataFrame, table: str) -> None:
         """Append fact rows, split by month and ordered by key in each file.
 
@@ -93,20 +140,22 @@ class Lake:
         for month in set(months) - left:
             remove(self.spark, f"{self.path(table)}/month={month}")
 
-    def _at(self, table: str, version: int) -> DataFrame:
-        return self.spark.read.schema(TABLES[table].schema).parquet(f"{self.path(table)}/data/v{version}")
-
     def _version(self, table: str) -> int:
         names = names_in(self.spark, f"{self.path(table)}/commits")
         return max((int(n[1:]) for n in names if n.startswith("v")), default=0)
 
     def expire(self, table: str, keep: int = 7) -> int:
-        """Remove all but the newest versions of a dimension; how many went."""
-        old = range(1, self._version(table) - keep + 1)
-        gone = [n for n in old if exists(self.spark, f"{self.path(table)}/data/v{n}")]
-        for n in gone:
-            remove(self.spark, f"{self.path(table)}/data/v{n}")
-        return len(gone)
+        """Remove all but the newest versions of a dimension; how many went. Parts that a kept version is made of stay."""
+        newest = self._version(table)
+        kept = [self._parts(table, n) for n in range(max(1, newest - keep + 1), newest + 1)]
+        used = {f"v{p['live']}/part=live" for p in kept} | {f"v{k}/part=past" for p in kept for k in p["past"]}
+        gone, data = 0, f"{self.path(table)}/data"
+        for n in range(1, newest - keep + 1):
+            parts = {f"v{n}/{name}" for name in names_in(self.spark, f"{data}/v{n}") if name.startswith("part=")}
+            gone += any(p.endswith("=live") for p in parts - used)
+            for p in parts - used:
+                remove(self.spark, f"{data}/{p}")
+        return gone
 
 
 def open_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from wattloom.operators import late_changes, scd2
 from wattloom.operators.timeline import as_of
+from wattloom.plans import dims as plans
 from wattloom.schemas import no_rows
+from wattloom.sinks.tables import Lake
 from wattloom.workload.base import READINGS, Tables, query
 
 # Two keys share all readings. Every third reading is a change of the key's price, the others are facts.
@@ -96,3 +98,23 @@ def scd2_late_spans(t: Tables) -> DataFrame:
     hours = rated(t).select("device_id", F.col("effective").alias("h"))
     hit = as_of(hours, spans, {"device_id": "device_id"}, "h", "from", "to", ["new_key"]).filter("new_key IS NOT NULL")
     return hit.groupBy("device_id").count().withColumnRenamed("count", "hours")
+
+
+DAYS = ["2024-02-01", "2024-02-02", "2024-02-03"]
+
+
+@query("dim_history_parts", """WITH loads AS (SELECT * FROM (VALUES (0, TIMESTAMP '2024-02-01'), (1, TIMESTAMP '2024-02-02'), (2, TIMESTAMP '2024-02-03')) AS l(n, at)),
+seen AS (SELECT c_custkey AS id, n, at, CAST(1 + n * (c_custkey % 2) AS DOUBLE) AS cap FROM customer, loads),
+opened AS (SELECT * FROM seen s WHERE n = 0 OR cap <> (SELECT cap FROM seen p WHERE p.id = s.id AND p.n = s.n - 1))
+SELECT CAST(id AS BIGINT) * 100000000 + CAST(strftime(at, '%Y%m%d') AS BIGINT) AS solar_panel_key, CAST(id AS INTEGER) AS solar_panel_id, cap AS capacity_kwh, at AS start_date,
+  lead(at) OVER (PARTITION BY id ORDER BY at) AS end_date, lead(at) OVER (PARTITION BY id ORDER BY at) IS NULL AS current_flag FROM opened""")
+def dim_history_parts(t: Tables) -> DataFrame:
+    """Three loads into a stored dimension whose history is appended; every other panel changes each time."""
+    lake = Lake(t.spark, t.scratch("lake"))
+    for n, day in enumerate(DAYS):
+        panels = t["customer"].select(
+            F.col("c_custkey").cast("int").alias("id"), F.col("c_name").alias("name"), (F.lit(1.0) + n * (F.col("c_custkey") % 2)).alias("capacity_kwh"),
+            F.lit(1.0).alias("intensity_power_rating"), F.lit(25.0).alias("temperature_power_rating"),
+        )
+        lake.write_changes(plans.dim_panel(lake.current("dim_solar_panel"), panels, F.lit(day).cast("timestamp")), "dim_solar_panel")
+    return lake.dim("dim_solar_panel").select("solar_panel_key", "solar_panel_id", "capacity_kwh", "start_date", "end_date", "current_flag")
