@@ -103,11 +103,11 @@ def scd2_late_spans(t: Tables) -> DataFrame:
 DAYS = ["2024-02-01", "2024-02-02", "2024-02-03"]
 
 
-@query("dim_history_parts", """WITH loads AS (SELECT * FROM (VALUES (0, TIMESTAMP '2024-02-01'), (1, TIMESTAMP '2024-02-02'), (2, TIMESTAMP '2024-02-03')) AS l(n, at)),
-seen AS (SELECT c_custkey AS id, n, at, CAST(1 + n * (c_custkey % 2) AS DOUBLE) AS cap FROM customer, loads),
+@query("dim_history_parts", """WITH loads AS (SELECT * FROM (VALUES (0, TIMESTAMP '2024-02-01'), (1, TIMESTAMP '2024-02-02'), (2, TIMESTAMP '2024-02-03')) AS l(n, loaded)),
+seen AS (SELECT c_custkey AS id, n, loaded, CAST(1 + n * (c_custkey % 2) AS DOUBLE) AS cap FROM customer, loads),
 opened AS (SELECT * FROM seen s WHERE n = 0 OR cap <> (SELECT cap FROM seen p WHERE p.id = s.id AND p.n = s.n - 1))
-SELECT CAST(id AS BIGINT) * 100000000 + CAST(strftime(at, '%Y%m%d') AS BIGINT) AS solar_panel_key, CAST(id AS INTEGER) AS solar_panel_id, cap AS capacity_kwh, at AS start_date,
-  lead(at) OVER (PARTITION BY id ORDER BY at) AS end_date, lead(at) OVER (PARTITION BY id ORDER BY at) IS NULL AS current_flag FROM opened""")
+SELECT CAST(id AS BIGINT) * 100000000 + CAST(strftime(loaded, '%Y%m%d') AS BIGINT) AS solar_panel_key, CAST(id AS INTEGER) AS solar_panel_id, cap AS capacity_kwh, loaded AS start_date,
+  lead(loaded) OVER (PARTITION BY id ORDER BY loaded) AS end_date, lead(loaded) OVER (PARTITION BY id ORDER BY loaded) IS NULL AS current_flag FROM opened""")
 def dim_history_parts(t: Tables) -> DataFrame:
     """Three loads into a stored dimension whose history is appended; every other panel changes each time."""
     lake = Lake(t.spark, t.scratch("lake"))
