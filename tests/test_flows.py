@@ -220,3 +220,12 @@ def test_facts_of_unknown_panels_wait(spark, lake, inputs):
     run_raw(lake, str(inputs), DAY, "log", panel_id=9)
     bad = run_warehouse(lake, str(inputs / "appliances.json"), DAY, NOW)
     assert bad["fact_solar_panel_power_readings"] == 72 and counts(lake)["fact_solar_panel_power_readings"] == 0
+
+
+def test_two_stations_are_not_mixed(spark, tmp_path):
+    from wattloom.plans.prepare import write_inputs
+
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.clm").write_text("x\n")
+    with pytest.raises(ValueError, match="2 climate files"):
+        write_inputs(spark, str(tmp_path / "in"), str(tmp_path / "*.clm"), "none.json", "2013-01-01", "2013-01-01")

@@ -51,8 +51,12 @@ def write_inputs(
     spark: SparkSession, inputs: str, climate: str, appliances: str, first: str, last: str, step_us: int = STEP_US,
 ) -> int:
     """Write ``home/{date}.csv`` and ``weather/{date}.csv`` (folders of CSV files) of the days from ``first`` to ``last``, as the
-    raw job reads them; the number of climate lines that were left out."""
-    files = spark.read.text(climate, wholetext=True).select(F.col("_metadata.file_path").alias("station"), "value")
+    raw job reads them; the number of climate lines that were left out. The weather files have no station, so the climate must be
+    one file."""
+    found = spark.read.text(climate, wholetext=True)
+    if len(found.inputFiles()) > 1:
+        raise ValueError(f"{climate}: {len(found.inputFiles())} climate files would be mixed into one weather file")
+    files = found.select(F.col("_metadata.file_path").alias("station"), "value")
     start, n = date.fromisoformat(first), (date.fromisoformat(last) - date.fromisoformat(first)).days + 1
     days = [str(start + timedelta(days=k)) for k in range(n)]
     year = int(first[:4])
