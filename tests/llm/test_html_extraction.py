@@ -24,6 +24,8 @@ def test_odd_markup():
     assert own("<p title=\"a>b\">q</p><p title='x>y'>r</p>") == "q\n\nr"
     assert own("<p class=\"broken>text here</p><p>next</p>") != ""
     assert own("<script>never closed <p>x") == ""
+    assert own("<p>one <svg viewBox='0'> two</p><p>three</p>") == "one two\n\nthree" and own("<p>a</p><math><p>b</p>") == "a\n\nb"
+    assert own("<p>a<svg><text>no</text></svg>b</p>") == "ab"
     assert own("</div></p><p>a</b>b</p>") == "ab"
     assert own("İ<script>İ</SCRIPT >x<textarea>y</textarea>z") == "İxz" and own("<b>" * 50000 + "x" + "</i>" * 50000) == "x"
     assert own("<div>" * 3000 + "deep" + "</div>" * 10) == "deep"

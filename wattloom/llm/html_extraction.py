@@ -146,6 +146,8 @@ class Page:
                 if attributes.endswith("/") and tag in ("svg", "math"):
                     continue
                 end = ENDS[tag].search(source, at)
+                if not end and tag in ("svg", "math"):
+                    continue  # never closed: a page's text goes on behind the start tag
                 if not end:
                     return
                 at = end.end()
