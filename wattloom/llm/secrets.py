@@ -5,7 +5,8 @@ kinds are common in clean text: addresses, names of accounts, forty-character ke
 make it usable lie within ``SCOPE`` code points: parts are joined by intervals, on the text's scope and its neighbours, so a
 span meets only what is near it, however long the text or however many spans it holds.
 
-Everything is column expressions. Positions come from the lengths of the matches and of what lies between.
+Everything is column expressions. Positions come from the lengths of the matches and of what lies between. Running sums and masked
+texts are made in blocks of ``BLOCK`` matches, so the work of a text grows with its length and matches, not with their square.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from wattloom.llm.base import query, stored, table
 
 SCOPE = 200
+BLOCK = 128
 
 # Patterns of the strong kinds, in the order in which spans with one start are listed.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -31,6 +33,20 @@ KINDS = ["assign", "access", "hex", "endpoint", "account", "key"]
 NEEDS = {"endpoint": [["access", "account"], ["assign", "hex", "key"]], "account": [["assign", "hex", "key"], ["endpoint"]], "key": [["access", "account"]]}
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is read."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _block(rows: Column, n: Column) -> Column:
+    return F.slice(rows, n * BLOCK + 1, F.lit(BLOCK))
+
+
+def _blocks(rows: Column) -> Column:
+    """Numbers of the blocks of an array that is not empty."""
+    return F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / BLOCK).cast("int"))
+
+
 def found(text: Column, kind: str, pattern: str, group: int = 0, least: int = 1, most: int | None = None) -> Column:
     """Leftmost matches that do not overlap, as structs ``start``, ``rank``, ``end``, ``kind`` (code points, end exclusive).
 
@@ -39,7 +55,7 @@ def found(text: Column, kind: str, pattern: str, group: int = 0, least: int = 1,
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     between = F.split(text, pattern, -1)
-    rows = F.arrays_zip(F.transform(F.slice(between, F.lit(1), F.size(whole)), F.length).alias("gap"), F.transform(whole, F.length).alias("size"), F.transform(value, F.length).alias("value"))
+    sized = F.arrays_zip(F.transform(between, F.length).alias("gap"), F.transform(whole, F.length).alias("size"), F.transform(value, F.length).alias("value"))
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
 
     def step(acc, r):
@@ -48,8 +64,16 @@ def found(text: Column, kind: str, pattern: str, group: int = 0, least: int = 1,
         span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), (start + r["size"]).alias("end"), F.lit(kind).alias("kind"))
         return F.struct((start + r["size"]).alias("at"), F.when(fits, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
-    zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    return F.when(F.size(whole) > 0, F.aggregate(rows, zero, step, lambda acc: acc["out"])).otherwise(none)
+    def spans(rows):
+        def block(acc, n):
+            done = F.aggregate(_block(rows, n), F.struct(acc["at"].alias("at"), none.alias("out")), step)
+            return _bound(done, lambda d: F.struct(d["at"].alias("at"), F.concat(acc["out"], F.array(d["out"])).alias("out")))
+
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<start:int,rank:int,end:int,kind:string>>>").alias("out"))
+        return F.aggregate(_blocks(rows), zero, block, lambda acc: F.flatten(acc["out"]))
+
+    # What lies behind the last match has no size.
+    return F.when(text.rlike(pattern), _bound(F.filter(sized, lambda r: r["size"].isNotNull()), spans)).otherwise(none)
 
 
 def strong(text: Column) -> Column:
@@ -107,14 +131,29 @@ def secrets(docs: DataFrame) -> DataFrame:
 
 def masked(text: Column, spans: Column) -> Column:
     """``text`` with each span, or run of overlapping spans, replaced by the name of its first kind."""
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    def step(part, base):
+        def one(acc, s):
+            gap = F.substring(part, acc["at"] - base + 1, s["start"] - acc["at"])
+            more = F.concat(acc["out"], gap, F.lit("["), F.upper(s["kind"]), F.lit("]"))
+            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], more).otherwise(acc["out"]).alias("out"))
+
+        return one
+
+    def whole(rows):
+        def block(acc, n):
+            def cut(some):
+                # Text from where the block before ended to the end of this block's spans.
+                length = F.greatest(F.lit(0), F.array_max(F.transform(some, lambda s: s["end"])) - acc["at"])
+                zero = F.struct(acc["at"].alias("at"), F.lit("").alias("out"))
+                done = _bound(F.substring(text, acc["at"] + 1, length), lambda part: F.aggregate(some, zero, step(part, acc["at"])))
+                return _bound(done, lambda d: F.struct(d["at"].alias("at"), F.concat(acc["out"], F.array(d["out"])).alias("out")))
+
+            return _bound(_block(rows, n), cut)
 
-    def step(acc, s):
-        more = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], more).otherwise(acc["out"]).alias("out"))
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+        return F.aggregate(_blocks(rows), zero, block, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
 
-    done = F.aggregate(F.array_sort(spans), zero, step)
-    return F.when(F.size(spans) > 0, F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))).otherwise(text)
+    return F.when(F.size(spans) > 0, _bound(F.array_sort(spans), whole)).otherwise(text)
 
 
 def redacted(docs: DataFrame) -> DataFrame:
