@@ -8,7 +8,8 @@ search, until T is reached or out of reach. Four steps keep this distributed:
 2. ``shared_lists``: list lengths. Shingles go by hash to buckets as packed arrays, a bucket counts sets per
    shingle, and only shingles with two or more come back. A class that has more shingles of its own than
    ``n - T`` has no partner and ends here. Shingles of a hundredth of all documents go to buckets by document
-   instead, as their place in the order (last) is known from step 1; that list is bounded, see ``heavy``.
+   instead, as their place in the order (last) is known from step 1; that list is bounded, see ``heavy``. Inside a bucket 40
+   bits tell shingles apart; a false match is one shingle of two sets, and sets that can link share ``SMALLEST``.
 3. ``blocks``: classes with a short list in common are connected; partners are always in one block.
 4. ``search``: DivideSkip inside each block. Large blocks are cut into chunks which share pivots; afterwards
    only classes outside the block's largest component meet the other chunks. Pairs known to be connected are not
@@ -36,6 +37,8 @@ THRESHOLD = 75  # per cent
 WIDTH = 5
 LOW = 40  # bits of a shingle's hash inside its bucket
 COMMON = np.int64(1) << 40  # list length that stands for a heavy shingle
+OFTEN = 0.005  # share of a batch from which a shingle is counted
+SMALLEST = 3  # sets that differ and share 75 per cent of their union share three shingles at least
 
 
 def needed(n):
@@ -52,7 +55,7 @@ def shingle_table(docs: DataFrame) -> DataFrame:
             keys = [set_key(s) if len(s) else None for s in found]
             once = {k: s for k, s in zip(keys, found, strict=True) if k is not None}
             h, c = np.unique(np.concatenate([*once.values(), np.empty(0, np.uint64)]), return_counts=True)
-            often = c >= max(8, 0.02 * len(once))
+            often = c >= max(4, OFTEN * len(once))
             none = [None] * int(often.sum())
             yield pa.RecordBatch.from_arrays([
                 pa.array([*ids.to_pylist(), *c[often].tolist()], pa.int64()), pa.array([*marks.to_pylist(), *none], pa.int64()),
@@ -63,11 +66,11 @@ def shingle_table(docs: DataFrame) -> DataFrame:
 
 
 def heavy(made: DataFrame) -> np.ndarray:
-    """Hashes of shingles that a hundredth of all documents hold. There are at most 100 times as many as a
-    document has on average, whatever the number of documents."""
+    """Hashes of shingles that batches count in ``OFTEN`` of all documents: all that a hundredth of them hold, as batches below ``OFTEN``
+    miss less than that share, and at most 200 times as many as a document has on average, whatever the number of documents."""
     found = made.filter("n IS NULL").groupBy("key").agg(F.sum("doc_id").alias("c"))
     total = made.filter("key IS NOT NULL AND n IS NOT NULL").count()
-    rows = found.filter(F.col("c") >= max(8, total // 100)).select("key").collect()
+    rows = found.filter(F.col("c") >= max(8, total * OFTEN)).select("key").collect()
     return np.sort(np.array([r.key for r in rows], np.int64).view(np.uint64))
 
 
@@ -175,7 +178,7 @@ def shared_lists(docs: DataFrame, often: np.ndarray, postings: int, bucket_posti
         out = []
         for i, (key, n) in enumerate(zip(keys.tolist(), sizes.tolist(), strict=True)):
             shared = int(cuts[i + 1] - cuts[i])
-            if shared >= needed(n):
+            if n >= SMALLEST and shared >= needed(n):
                 out.append((key, n, ids[cuts[i] : cuts[i + 1]], shared - needed(n) + 1))
         return pd.DataFrame(out, columns=["key", "n", "ids", "short"])
 
@@ -204,8 +207,12 @@ def divide_skip(sets: list[np.ndarray], sizes: np.ndarray, group: np.ndarray | N
     m = len(sets)
     comp = np.arange(m)
     if group is not None:
-        for g in np.unique(group[group >= 0]):
-            comp[group == g] = np.flatnonzero(group == g)[0]
+        named = np.where(group < 0, group.max(initial=0) + 1 + comp, group)
+        _, first, code = np.unique(named, return_index=True, return_inverse=True)
+        comp = first[code]
+    order = np.argsort(comp, kind="stable")
+    heads = np.flatnonzero(np.r_[True, comp[order][1:] != comp[order][:-1]]) if m else []
+    members = {int(comp[x[0]]): x.tolist() for x in np.split(order, heads[1:])} if m else {}
     flat, owner = np.concatenate(sets), np.repeat(np.arange(m), [len(s) for s in sets])
     ids, code = np.unique(flat, return_inverse=True)
     by = np.argsort(code, kind="stable")
@@ -245,7 +252,10 @@ def divide_skip(sets: list[np.ndarray], sizes: np.ndarray, group: np.ndarray | N
                 i = bisect_left(lists, d, a, b)
                 overlap += i < b and lists[i] == d
             if overlap >= t2:
-                comp[comp == comp[q]] = comp[d]
+                # The smaller component takes the other's name, so each set is renamed a logarithm of times.
+                a, b = sorted((int(comp[q]), int(comp[d])), key=lambda c: len(members[c]))
+                comp[members[a]] = b
+                members[b] += members.pop(a)
     return comp
 
 
