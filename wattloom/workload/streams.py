@@ -10,7 +10,7 @@ from wattloom.plans.flows import load_panels, run_warehouse
 from wattloom.sinks import tables as sinks
 from wattloom.sinks.tables import Lake, open_table
 from wattloom.operators import bucketing
-from wattloom.streaming import jobs, state, upsample
+from wattloom.streaming import jobs, state, upsample, weather
 from wattloom.workload.base import NOW, READINGS, Tables, query
 from wattloom.workload.files import F4, FLOW_SQL, STAMP, battery_log, doubled, fact_rows, power_log, write_json
 
@@ -146,6 +146,27 @@ def stream_upsample(t: Tables) -> DataFrame:
     return dense.withColumn("value", F.round("value", 6))
 
 
+@query("stream_weather_join", """WITH readings AS (SELECT event_id, ts, CAST(user_id % 3 AS INTEGER) AS site, value FROM events),
+hours AS (SELECT site, date_trunc('hour', ts) + INTERVAL '20 minutes' AS h, round(avg(value), 4) AS temp FROM readings WHERE event_id % 4 = 0 GROUP BY ALL),
+mark AS (SELECT date_trunc('millisecond', least((SELECT max(ts) FROM readings), (SELECT max(h) FROM hours)) - INTERVAL '13 days') AS w)
+SELECT r.event_id, r.ts AS timestamp, r.site, r.value, h.temp FROM readings r LEFT JOIN hours h ON r.site = h.site AND r.ts >= h.h AND r.ts < h.h + INTERVAL '1 hour', mark
+WHERE h.h IS NOT NULL OR r.ts < w""")
+def stream_weather_join(t: Tables) -> DataFrame:
+    """Events of three sites with samples that hold for an hour; some hours have none, and both streams come out of order."""
+    site = (F.col("panel_id") % 3).alias("site")
+    folder = t.scratch("weather")
+    samples = t["events"].filter("event_id % 4 = 0").select((F.col("user_id").cast("int") % 3).alias("site"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour"), "value")
+    hours = samples.groupBy("site", "hour").agg(F.round(F.avg("value"), 4).alias("temp")).withColumn("timestamp", F.col("hour") + F.expr("INTERVAL 20 MINUTES")).drop("hour")
+    # The other way round than the readings: odd hours are late.
+    late = F.least(F.lit(SLICES - 1), F.floor((F.dayofmonth("timestamp") - 1) / 6) + F.hour("timestamp") % 2)
+    hours = t.stored(hours, "hours")
+    for n in range(SLICES):
+        hours.filter(late == n).coalesce(1).write.mode("append").parquet(folder)
+    sky = t.spark.readStream.schema(hours.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    readings = in_slices(t).select("event_id", "timestamp", site, "value")
+    return out_of(t, weather.with_weather(readings, sky, "site", late="13 days", weather_late="13 days"))
+
+
 @query("stream_late_days", FLOW_SQL)
 def stream_late_days(t: Tables) -> DataFrame:
     """Streamed loads bring late samples of days before their newest; the dated run of that day finds them in the register, and facts follow."""
