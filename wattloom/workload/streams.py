@@ -10,8 +10,8 @@ from wattloom.plans.flows import load_panels, run_warehouse
 from wattloom.sinks import tables as sinks
 from wattloom.sinks.tables import Lake, open_table
 from wattloom.operators import bucketing
-from wattloom.streaming import jobs, state, upsample, weather
-from wattloom.workload.base import NOW, READINGS, Tables, query
+from wattloom.streaming import jobs, keyed, state, upsample, weather
+from wattloom.workload.base import DEVICES, NOW, READINGS, Tables, query
 from wattloom.workload.files import F4, FLOW_SQL, STAMP, battery_log, doubled, fact_rows, power_log, write_json
 
 
@@ -167,6 +167,21 @@ def stream_weather_join(t: Tables) -> DataFrame:
     return out_of(t, weather.with_weather(readings, sky, "site", late="13 days", weather_late="13 days"))
 
 
+@query("stream_keyed_facts", f"""WITH {DEVICES}, d AS (SELECT *, min(start_date) OVER (PARTITION BY device_id) AS first_start FROM devices)
+SELECT e.event_id, CAST(e.user_id AS INTEGER) AS panel_id, e.ts AS timestamp, e.value, d.device_key FROM events e JOIN d ON d.device_id = e.user_id
+AND (e.ts >= d.start_date OR d.start_date = d.first_start) AND (d.end_date IS NULL OR e.ts < d.end_date)""")
+def stream_keyed_facts(t: Tables) -> DataFrame:
+    """The dimension grows while the stream runs: half of the devices, all first versions open; then two thirds with all versions; then all."""
+    devices, opened = t.devices(), F.lit("2024-01-10").cast("timestamp")
+    first = devices.filter((F.col("device_id") % 2 == 0) & (F.col("start_date") < opened))
+    dims = [first.withColumn("end_date", F.lit(None).cast("timestamp")), devices.filter("device_id % 3 <> 0"), devices]
+    tries = iter([1, 1, 2, 2])
+    schema = T.StructType.fromDDL("event_id BIGINT, panel_id INT, timestamp TIMESTAMP, value DOUBLE")
+    facts = keyed.KeyedFacts(t.spark, t.scratch("keyed"), schema, {"panel_id": "device_id"}, "device_key", "timestamp", lambda: next(tries, 3), lambda n: dims[n - 1])
+    facts.start(in_slices(t), t.scratch("stream-state")).awaitTermination()
+    return facts.read()
+
+
 @query("stream_late_days", FLOW_SQL)
 def stream_late_days(t: Tables) -> DataFrame:
     """Streamed loads bring late samples of days before their newest; the dated run of that day finds them in the register, and facts follow."""
