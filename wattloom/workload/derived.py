@@ -10,6 +10,7 @@ from wattloom.functions.predicates import flatten
 from wattloom.operators import generation, resample
 from wattloom.operators.bucketing import sum_per_bucket
 from wattloom.plans import prepare
+from wattloom.sources import clm
 from wattloom.sources.climate import parse_clm
 from wattloom.workload.base import APPLIANCES, READINGS, Tables, query
 
@@ -217,3 +218,27 @@ def climate_texts(t: Tables) -> DataFrame:
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("date", "block"))), lambda d: d["block"])
     years = days.groupBy("station", "year").agg(ordered.alias("blocks"))
     return years.select("station", F.concat_ws("\n", header, F.concat_ws("\n", "blocks")).alias("value"))
+
+
+def climate_files(t: Tables) -> str:
+    """The climate texts as files, a folder per station."""
+    path = t.scratch("climate")
+    climate_texts(t).select(F.col("station").alias("name"), "value").write.partitionBy("name").text(path)
+    return path
+
+
+def station_rows(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("station", F.regexp_extract("station", r"/name=([^/]+)/", 1))
+
+
+@query("climate_ranges", f"WITH {READINGS}, {CLIMATE} SELECT * FROM climate")
+def climate_ranges(t: Tables) -> DataFrame:
+    """The same hours by the data source, in ranges of 10,000 bytes."""
+    return station_rows(clm.read_clm_ranges(t.spark, climate_files(t), range_bytes=10_000).drop("torn"))
+
+
+@query("climate_ranges_days", f"WITH {READINGS}, {CLIMATE} SELECT * FROM climate WHERE date BETWEEN DATE '2024-01-09' AND DATE '2024-01-11'")
+def climate_ranges_days(t: Tables) -> DataFrame:
+    """Three days of it; ranges without them are not read."""
+    rows = clm.read_clm_ranges(t.spark, climate_files(t), range_bytes=2_000)
+    return station_rows(rows.filter("date BETWEEN DATE '2024-01-09' AND DATE '2024-01-11'").drop("torn"))
