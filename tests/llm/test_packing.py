@@ -61,6 +61,36 @@ def test_packing_is_optimal_on_small_cases():
     assert complete({}) == []
 
 
+def least(sizes, capacity):
+    """Fewest sequences by exhaustive search over subsets: (sequences, fill of the last one), least first."""
+    best = {0: (1, 0)}
+    for mask in range(1, 1 << len(sizes)):
+        ways = []
+        for i, x in enumerate(sizes):
+            if mask >> i & 1:
+                n, fill = best[mask ^ 1 << i]
+                ways.append((n, fill + x) if fill + x <= capacity else (n + 1, x))
+        best[mask] = min(ways)
+    return best[(1 << len(sizes)) - 1][0] if sizes else 0
+
+
+def test_a_case_where_single_sequences_are_not_enough():
+    counts = {14: 1, 13: 1, 9: 1, 8: 1, 5: 1, 4: 1, 3: 2}
+    assert sum(t for _, t in complete(counts, 20)) == 3
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_packing_is_optimal_on_random_small_cases(seed):
+    rnd = random.Random(seed)
+    for _ in range(250):
+        capacity = rnd.choice([10, 20, 50])
+        sizes = [rnd.randint(1, rnd.choice([capacity // 2, capacity])) for _ in range(rnd.randint(0, 9))]
+        counts = {x: sizes.count(x) for x in sizes}
+        got = complete(counts, capacity)
+        assert sorted(x for p, n in got for x in p * n) == sorted(sizes) and all(sum(p) <= capacity for p, _ in got)
+        assert sum(n for _, n in got) == least(sizes, capacity)
+
+
 def check_rows(rows, docs, model, capacity):
     rows_of = {}
     for r in rows:

@@ -7,7 +7,10 @@ in salted groups. No piece passes through the driver.
 
 Bin completion: take the largest length left, list the fillings of the space that it leaves, largest first, and drop those
 that another filling dominates (the same space or more, used by larger pieces). A plain best-fit filling is the incumbent;
-a branch whose waste bound cannot beat it is cut. The chosen pattern is used as often as the counts allow.
+a branch whose waste bound cannot beat it is cut. The chosen pattern is used as often as the counts allow. What comes out is a whole packing, the
+incumbent. While it has more sequences than the token count asks for, its last sequences, of which pieces fit worst, are packed again into one fewer
+(``fewer``): branches over all undominated fillings of the largest piece left, cut where the waste of all sequences together exceeds what is to spare. A packing of
+up to ``WINDOW`` sequences is searched as a whole, so its result is optimal unless ``search`` nodes end the search.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from wattloom.llm.base import query, stored, table
 
 CAPACITY = 2048
 CACHE = 1_000_000  # words per worker
+WINDOW = 32  # sequences packed again at once
 # White space besides single spaces and line feeds between words.
 ODD = [" " * 2, " \n", "\n ", "\n" * 2, *map(chr, [1, 9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])]
 # Units of the pattern in ASCII words; apostrophes, special tokens and white space inside are left to the whole encoder.
@@ -184,8 +188,94 @@ def filling(space: int, rising: list[int], left: dict[int, int], branch: int) ->
     return tuple(best)
 
 
-def complete(counts: dict[int, int], capacity: int = CAPACITY, branch: int = 2000) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns (lengths of one sequence, falling) and how often each is used, for ``counts`` pieces of every length."""
+class Spent(Exception):
+    """The nodes of a search are used up."""
+
+
+def fewer(counts: Counter, bins: int, capacity: int, branch: int) -> list[tuple[int, ...]] | None:
+    """All of ``counts`` in at most ``bins`` sequences by bin completion, or None if there is no such packing; raises :class:`Spent` after ``branch`` nodes."""
+    left, rising, dead = dict(counts), sorted(counts), set()
+    nodes = 0
+
+    def dominated(chosen: list[int], room: int) -> bool:
+        """Whether a piece that is left can take the place of one that is chosen, or of two, and fill more or be one instead of two."""
+        kinds = sorted(set(chosen))
+        pairs = {a + b for i, a in enumerate(kinds) for b in kinds[i:] if a != b or chosen.count(a) > 1}
+        return any(left[x] and (any(k < x <= k + room for k in kinds) or any(p <= x <= p + room for p in pairs)) for x in rising)
+
+    def fillings(room: int, top: int, slack: int, chosen: list[int]) -> Iterator[int]:
+        """Takes an undominated filling from ``left`` into ``chosen`` and yields the room it leaves; puts it back afterwards."""
+        nonlocal nodes
+        nodes += 1
+        if nodes > branch:
+            raise Spent
+        for i in range(min(top, bisect.bisect_right(rising, room) - 1), -1, -1):
+            x = rising[i]
+            for k in range(min(left[x], room // x), 0, -1):
+                left[x] -= k
+                chosen += [x] * k
+                yield from fillings(room - k * x, i - 1, slack, chosen)
+                del chosen[len(chosen) - k :]
+                left[x] += k
+        if room <= slack and not any(x <= room and left[x] for x in rising) and not dominated(chosen, room):
+            yield room
+
+    def solve(slack: int) -> list[tuple[int, ...]] | None:
+        big = next((x for x in reversed(rising) if left[x]), None)
+        if big is None:
+            return []
+        state = tuple(left[x] for x in rising)
+        if state in dead:
+            return None
+        left[big] -= 1
+        chosen: list[int] = []
+        for room in fillings(capacity - big, len(rising) - 1, slack, chosen):
+            pattern = (big, *chosen)
+            rest = solve(slack - room)
+            if rest is not None:
+                return [pattern, *rest]
+        left[big] += 1
+        dead.add(state)
+        return None
+
+    slack = bins * capacity - sum(x * k for x, k in counts.items())
+    return None if slack < 0 else solve(slack)
+
+
+def improved(patterns: list[tuple[tuple[int, ...], int]], capacity: int, branch: int) -> list[tuple[tuple[int, ...], int]]:
+    """The same pieces in fewer sequences, where ``fewer`` finds a way for the last 2, 4, ... ``WINDOW`` of them."""
+    patterns = list(patterns)
+    total, bins, size = sum(sum(p) * n for p, n in patterns), sum(n for _, n in patterns), 2
+    while bins > -(-total // capacity):
+        tail: list[tuple[int, ...]] = []
+        while patterns and len(tail) < size:
+            pattern, n = patterns.pop()
+            k = min(n, size - len(tail))
+            tail += [pattern] * k
+            if n > k:
+                patterns.append((pattern, n - k))
+        try:
+            found = fewer(Counter(x for p in tail for x in p), len(tail) - 1, capacity, branch)
+        except Spent:
+            found = None
+        patterns += [(p, 1) for p in (tail if found is None else found)]
+        if found is not None:
+            bins -= len(tail) - len(found)
+        elif size >= min(WINDOW, bins):
+            break
+        else:
+            size = min(2 * size, WINDOW)
+    return patterns
+
+
+def complete(counts: dict[int, int], capacity: int = CAPACITY, branch: int = 2000, search: int = 100_000) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns (lengths of one sequence, falling) and how often each is used, for ``counts`` pieces of every length. ``branch`` bounds the nodes of
+    one sequence's search, ``search`` those of one search over the last sequences."""
+    return improved(completed(counts, capacity, branch), capacity, search)
+
+
+def completed(counts: dict[int, int], capacity: int, branch: int) -> list[tuple[tuple[int, ...], int]]:
+    """The incumbent: one sequence after the other is completed for the largest piece left."""
     left = {k: v for k, v in counts.items() if v > 0}
     rising, out = sorted(left), []
     while rising:
