@@ -1,14 +1,24 @@
 """Newest state as a stream: any cut into micro-batches gives the batch result."""
 
+import os
 import random
+import subprocess
+import sys
 from datetime import datetime, timedelta
 
+import duckdb
 import pytest
+from check import differences
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from wattloom.operators import bucketing
+from wattloom.session import ROCKSDB, STATE_STORE
 from wattloom.streaming import jobs, state
 
+DEFAULT_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
 T0 = datetime(2024, 1, 1)
 SCHEMA = "device STRING, timestamp TIMESTAMP, v INT, d DOUBLE"
 
@@ -55,3 +65,34 @@ def test_rows_of_a_batch_are_thinned_before_the_shuffle(spark):
     many = spark.range(100_000).select(F.lit("a").alias("device"), F.lit(0).cast("long").alias("bucket"), F.current_timestamp().alias("at"), F.col("id").alias("us"), F.lit(1).cast("long").alias("tie"), F.lit("{}").alias("row"))
     got = many.coalesce(1).mapInPandas(state._newest_of_batch, state.PACKED)
     assert got.count() == 10 and got.agg(F.max("us")).first()[0] == 99_999
+
+
+@pytest.fixture
+def default_store(spark):
+    """Spark's own state store, which a session has that says nothing."""
+    spark.conf.set(STATE_STORE, DEFAULT_STORE)
+    yield
+    spark.conf.set(STATE_STORE, ROCKSDB)
+
+
+@pytest.mark.parametrize("name", ["stream_last_per_bucket"])
+def test_queries_run_in_a_session_with_the_default_store(spark, tmp_path, default_store, name):
+    con = duckdb.connect()
+    con.sql(f"""COPY (SELECT i AS event_id, TIMESTAMP '2024-01-01 00:00:30' + INTERVAL (i * 53 % 7200 * 6) MINUTE AS ts, i % 5 AS user_id, 'view' AS event_type, i / 4 AS value, '{{"k": 1}}' AS props
+      FROM range(120) AS r(i)) TO '{tmp_path}/events.parquet'""")
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    want = con.sql(contract.oracle_sql()[name]).df()
+    assert len(want) and differences(contract.queries()[name](spark, str(tmp_path)).toPandas(), want) == []
+    assert spark.conf.get(STATE_STORE) == DEFAULT_STORE
+
+
+PROCESSORS = [state.LastOfBuckets(900_000_000)]
+
+
+@pytest.mark.parametrize("processor", PROCESSORS, ids=lambda p: type(p).__name__)
+def test_a_processor_loads_without_the_package(tmp_path, processor):
+    """As in the process beside the driver, which has only what comes with the processor."""
+    load = "import pickle, sys; print(type(pickle.load(sys.stdin.buffer)).__name__)"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", load], input=cloudpickle.dumps(processor), cwd=tmp_path, env=env, capture_output=True, check=False)
+    assert done.stdout.decode().split() == [type(processor).__name__], done.stderr.decode()

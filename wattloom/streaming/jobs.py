@@ -13,6 +13,7 @@ from wattloom.functions.timebucket import interval_15m, month_start
 from wattloom.operators.merge import insert_new
 from wattloom.operators.quality import CORRUPT
 from wattloom.plans.flows import load_checked
+from wattloom.session import state_in_rocksdb
 from wattloom.sinks.tables import Lake, write_partitioned
 from wattloom.sources.readings import BATTERY_LOG, POWER_LOG, explode_batteries
 
@@ -63,12 +64,19 @@ def drop_repeats(stream: DataFrame, keys: list[str], ts: str = "timestamp", late
 
 
 def write_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Rows of a stream as parquet. One with a state processor is started by :func:`write_processed`."""
     return (
         stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(availableNow=True).start()
     )
 
 
+def write_processed(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """:func:`write_stream` for a stream with a state processor, in sessions with any state store."""
+    with state_in_rocksdb(stream.sparkSession):
+        return write_stream(stream, path, checkpoint)
+
+
 def start_insert_new(
     stream: DataFrame, read_target: Callable[[], DataFrame], keys: list[str], path: str, checkpoint: str, ts: str = "date_key",
 ) -> StreamingQuery:

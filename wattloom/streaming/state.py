@@ -7,9 +7,11 @@ shuffle, so a device with a third of all readings sends a few rows only.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,9 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from wattloom.functions.timebucket import QUARTER_US, bucket_start, micros
 
+# Spark also starts a processor in a Python process beside the driver, which files added to the job don't reach, so its code goes with it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PACKED = "device STRING, bucket LONG, at TIMESTAMP, us LONG, tie LONG, row STRING"
 STAMPS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from wattloom.plans.flows import load_panels, run_warehouse
 from wattloom.sinks import tables as sinks
@@ -113,9 +116,9 @@ def in_slices(t: Tables) -> DataFrame:
     return t.spark.readStream.schema(STATES).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
-def out_of(t: Tables, stream: DataFrame) -> DataFrame:
+def out_of(t: Tables, stream: DataFrame, write: Callable[[DataFrame, str, str], StreamingQuery] = jobs.write_stream) -> DataFrame:
     out = t.scratch("stream-out")
-    jobs.write_stream(stream, out, t.scratch("stream-state")).awaitTermination()
+    write(stream, out, t.scratch("stream-state")).awaitTermination()
     return t.spark.read.schema(stream.schema).parquet(out)
 
 
@@ -124,7 +127,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY bucket, panel_id ORDER BY t
 SELECT bucket, panel_id, event_id, timestamp, current_energy_wh AS value FROM ranked, mark WHERE rn = 1 AND bucket + INTERVAL '15 minutes' <= date_trunc('millisecond', w)""")
 def stream_last_per_bucket(t: Tables) -> DataFrame:
     """Buckets that the watermark has closed, from files out of order."""
-    rows = out_of(t, state.last_per_bucket(in_slices(t), "panel_id", late="13 days"))
+    rows = out_of(t, state.last_per_bucket(in_slices(t), "panel_id", late="13 days"), jobs.write_processed)
     return rows.select("bucket", "panel_id", "event_id", "timestamp", "value")
 
 
