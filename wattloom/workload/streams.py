@@ -134,7 +134,7 @@ def stream_last_per_bucket(t: Tables) -> DataFrame:
 @query("stream_latest_state", f"""WITH {READINGS} SELECT panel_id, arg_max(event_id, timestamp) AS event_id, max(timestamp) AS timestamp, arg_max(current_energy_wh, timestamp) AS value FROM readings GROUP BY panel_id""")
 def stream_latest_state(t: Tables) -> DataFrame:
     """The last word on each device; states are given up after a silent day and begun anew."""
-    rows = out_of(t, state.latest_state(in_slices(t), "panel_id", late="13 days", idle="1 day"))
+    rows = out_of(t, state.latest_state(in_slices(t), "panel_id", late="13 days", idle="1 day"), jobs.write_processed)
     return bucketing.latest_state(rows, "panel_id").select("panel_id", "event_id", "timestamp", "value")
 
 
