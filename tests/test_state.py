@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from wattloom.operators import bucketing
 from wattloom.session import ROCKSDB, STATE_STORE
-from wattloom.streaming import jobs, state
+from wattloom.streaming import jobs, state, upsample
 
 DEFAULT_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 
@@ -75,7 +75,7 @@ def default_store(spark):
     spark.conf.set(STATE_STORE, ROCKSDB)
 
 
-@pytest.mark.parametrize("name", ["stream_last_per_bucket", "stream_latest_state"])
+@pytest.mark.parametrize("name", ["stream_last_per_bucket", "stream_latest_state", "stream_upsample"])
 def test_queries_run_in_a_session_with_the_default_store(spark, tmp_path, default_store, name):
     con = duckdb.connect()
     con.sql(f"""COPY (SELECT i AS event_id, TIMESTAMP '2024-01-01 00:00:30' + INTERVAL (i * 53 % 7200 * 6) MINUTE AS ts, i % 5 AS user_id, 'view' AS event_type, i / 4 AS value, '{{"k": 1}}' AS props
@@ -86,7 +86,7 @@ def test_queries_run_in_a_session_with_the_default_store(spark, tmp_path, defaul
     assert spark.conf.get(STATE_STORE) == DEFAULT_STORE
 
 
-PROCESSORS = [state.LastOfBuckets(900_000_000), state.Newest(86_400_000)]
+PROCESSORS = [state.LastOfBuckets(900_000_000), state.Newest(86_400_000), upsample.Segments(60_000_000, 2)]
 
 
 @pytest.mark.parametrize("processor", PROCESSORS, ids=lambda p: type(p).__name__)

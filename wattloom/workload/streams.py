@@ -145,7 +145,7 @@ SELECT site, make_timestamp(g) AS timestamp, round(v + (nv - v) * ((g - slot)::D
 def stream_upsample(t: Tables) -> DataFrame:
     """Events of three sites on a grid of hours, from files out of order."""
     rows = in_slices(t).withColumn("site", F.col("panel_id") % 3)
-    dense = out_of(t, upsample.upsample(rows, "timestamp", ["value"], 3_600_000_000, ["site"], late="13 days"))
+    dense = out_of(t, upsample.upsample(rows, "timestamp", ["value"], 3_600_000_000, ["site"], late="13 days"), jobs.write_processed)
     return dense.withColumn("value", F.round("value", 6))
 
 
