@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 
@@ -79,3 +80,26 @@ def test_spine_includes_both_ends(spark):
     got = [str(r[0]) for r in time_spine(spark, "2024-01-01 23:00:00", "2024-01-02 00:30:00").orderBy("timestamp").collect()]
     assert got[0] == "2024-01-01 23:00:00" and got[-1] == "2024-01-02 00:30:00" and len(got) == 7
     assert time_spine(spark, "2013-01-01", "2016-12-31 23:45:00").distinct().count() == 140_256
+
+
+def test_a_battery_log_with_many_names_costs_its_length(spark, tmp_path):
+    """A line with a name that the lines before lack costs no copy of all their names."""
+    def seconds(names):
+        text = "".join(json.dumps({"time_stamp": "2025-02-14 02:08:59", "batteries": {f"battery_{100_000 + i % names}": BATTERY}}) + "\n" for i in range(60_000))
+        path, took = write(tmp_path / f"{names}.log", text), []
+        for _ in range(2):
+            start = time.perf_counter()
+            src.read_battery_log(spark, path, keep_corrupt=True).write.format("noop").mode("overwrite").save()
+            took.append(time.perf_counter() - start)
+        return min(took)
+
+    few = seconds(10)
+    assert seconds(60_000) < 3 * few + 0.3
+
+
+def test_a_battery_log_line_that_is_no_utf8_is_torn(spark, tmp_path):
+    good = json.dumps({"time_stamp": "2025-02-14 02:08:59", "batteries": {"b\u00e4ttery_2": BATTERY}}, ensure_ascii=False).encode()
+    path = tmp_path / "b.log"
+    path.write_bytes(good + b"\n" + good.replace(b"ideal", b"id\xffal") + b"\n")
+    got = {(r.battery_name, r[CORRUPT] is None) for r in src.read_battery_log(spark, str(path), keep_corrupt=True).collect()}
+    assert got == {("b\u00e4ttery_2", True), (None, False)}

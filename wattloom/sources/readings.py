@@ -26,6 +26,10 @@ BATTERY_LOG = (
     "current_energy_wh: FLOAT, is_charging: INT, status: STRING, max_output_w: FLOAT>>"
 )
 
+# Read as characters, a field name costs its length. The parser of bytes copies its table of names for each line with a new one, so a
+# log with a name per battery costs lines times names. A line that is no UTF-8 is torn either way.
+BATTERY_OPTIONS = {"encoding": "UTF-8"}
+
 # Source kinds by topic, with the file name of one day below the input folder.
 FILES = {
     ("home", "file"): "home/{date}.csv",
@@ -49,10 +53,10 @@ def _csv(spark: SparkSession, path: Paths, schema: str, origin: str | None = Non
     return _with_load(spark.read.schema(schema).option("header", True).csv(path), origin)
 
 
-def _json(spark: SparkSession, path: Paths, schema: str, keep_corrupt: bool, origin: str | None = None) -> DataFrame:
+def _json(spark: SparkSession, path: Paths, schema: str, keep_corrupt: bool, origin: str | None = None, **options: str) -> DataFrame:
     if not keep_corrupt:
-        return _with_load(spark.read.schema(schema).json(path), origin)
-    reader = spark.read.schema(f"{schema}, {CORRUPT} STRING").option("columnNameOfCorruptRecord", CORRUPT)
+        return _with_load(spark.read.schema(schema).options(**options).json(path), origin)
+    reader = spark.read.schema(f"{schema}, {CORRUPT} STRING").option("columnNameOfCorruptRecord", CORRUPT).options(**options)
     return _with_load(reader.json(path), origin)
 
 
@@ -94,7 +98,7 @@ def explode_batteries(log: DataFrame) -> DataFrame:
 
 
 def read_battery_log(spark: SparkSession, path: Paths, keep_corrupt: bool = False, origin: str | None = None) -> DataFrame:
-    return explode_batteries(_json(spark, path, BATTERY_LOG, keep_corrupt, origin))
+    return explode_batteries(_json(spark, path, BATTERY_LOG, keep_corrupt, origin, **BATTERY_OPTIONS))
 
 
 READERS = {

@@ -15,12 +15,12 @@ from wattloom.operators.quality import CORRUPT
 from wattloom.plans.flows import load_checked
 from wattloom.session import state_in_rocksdb
 from wattloom.sinks.tables import Lake, write_partitioned
-from wattloom.sources.readings import BATTERY_LOG, POWER_LOG, explode_batteries
+from wattloom.sources.readings import BATTERY_LOG, BATTERY_OPTIONS, POWER_LOG, explode_batteries
 
 
-def _log(spark: SparkSession, folder: str, schema: str, files_per_trigger: int) -> DataFrame:
+def _log(spark: SparkSession, folder: str, schema: str, files_per_trigger: int, **options: str) -> DataFrame:
     """Lines of new files; a torn one shows its text."""
-    reader = spark.readStream.schema(f"{schema}, {CORRUPT} STRING").option("columnNameOfCorruptRecord", CORRUPT)
+    reader = spark.readStream.schema(f"{schema}, {CORRUPT} STRING").option("columnNameOfCorruptRecord", CORRUPT).options(**options)
     return reader.option("maxFilesPerTrigger", files_per_trigger).json(folder)
 
 
@@ -29,7 +29,7 @@ def stream_power_log(spark: SparkSession, folder: str, files_per_trigger: int =
 
 
 def stream_battery_log(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
-    return explode_batteries(_log(spark, folder, BATTERY_LOG, files_per_trigger))
+    return explode_batteries(_log(spark, folder, BATTERY_LOG, files_per_trigger, **BATTERY_OPTIONS))
 
 
 def start_ingest(
