@@ -5,6 +5,7 @@ import random
 import subprocess
 import sys
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import duckdb
 import pytest
@@ -96,3 +97,23 @@ def test_a_processor_loads_without_the_package(tmp_path, processor):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", load], input=cloudpickle.dumps(processor), cwd=tmp_path, env=env, capture_output=True, check=False)
     assert done.stdout.decode().split() == [type(processor).__name__], done.stderr.decode()
+
+
+@pytest.mark.parametrize(("width", "ends"), [(900_000_000, {900_000: [0], 1_800_000: [1]}), (500, {1: [0, 1], 2: [2, 3]})])
+def test_a_timer_closes_its_buckets_without_listing_the_others(width, ends):
+    """Buckets 0 to 3; several of them end in one millisecond where the width is below that."""
+    class Open(dict):
+        listed = 0
+
+        def keys(self):
+            self.listed += 1
+            return list(super().keys())
+
+        containsKey, getValue, removeKey = dict.__contains__, dict.__getitem__, dict.__delitem__
+
+    processor = state.LastOfBuckets(width)
+    processor.open = Open({(n * width,): (0, 0, n) for n in range(4)})
+    for ms, rows in ends.items():
+        timer = SimpleNamespace(getExpiryTimeInMs=lambda ms=ms: ms)
+        assert [r for pdf in processor.handleExpiredTimer(("a",), None, timer) for r in pdf.row] == rows
+    assert processor.open.listed == (0 if width % 1000 == 0 else len(ends))
