@@ -14,6 +14,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from wattloom.functions.timebucket import QUARTER_US
 from wattloom.operators import bucketing
 from wattloom.session import ROCKSDB, STATE_STORE
 from wattloom.streaming import jobs, state, upsample
@@ -117,3 +118,39 @@ def test_a_timer_closes_its_buckets_without_listing_the_others(width, ends):
         timer = SimpleNamespace(getExpiryTimeInMs=lambda ms=ms: ms)
         assert [r for pdf in processor.handleExpiredTimer(("a",), None, timer) for r in pdf.row] == rows
     assert processor.open.listed == (0 if width % 1000 == 0 else len(ends))
+
+
+def test_buckets_are_aggregated_without_a_processor(spark, tmp_path):
+    """A call for every bucket that opens or closes, in Python, is what took the time; the devices' newest rows still need theirs."""
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in")
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    made = plan(state.last_per_bucket(stream, "device"))
+    assert "InPandas" not in made and "TransformWithState" not in made and "EventTimeWatermark" in made and "max_by" in made
+    assert "TransformWithState" in plan(state.latest_state(stream, "device"))
+
+
+@pytest.mark.parametrize("width", [QUARTER_US, 90_000_001])
+def test_buckets_of_every_kind_of_column(spark, rows, tmp_path, width):
+    """Columns come out as they went in, and a bucket that ends with the watermark is closed."""
+    schema = "device DOUBLE, timestamp TIMESTAMP, `r` ARRAY<STRING>, at STRUCT<a: DOUBLE, b: DATE>, place STRING"
+    at = lambda us: datetime(1970, 1, 1) + timedelta(microseconds=us)
+    first = 2_000_000 * width
+    data = [
+        (1.5, at(first), ["x", None], (float("inf"), datetime(2024, 1, 2).date()), "a"),
+        (1.5, at(first + width - 1), [], (None, None), 'quoted "b"\n'),
+        (2.0, at(first + 1), None, None, None),
+        (1.5, at(first + width), ["open"], None, "still open"),
+        (None, at(first), [], None, "nobody"), (1.5, None, [], None, "never"),
+    ]
+    end = first + width + -(first + width) % 1000  # watermarks are whole milliseconds
+    marks = [(9.0, at(end + 10 * 60_000_000), [], None, "end")]
+    for part in (data, marks):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        made = state.last_per_bucket(stream, "device", late="10 minutes", width_us=width)
+        jobs.write_processed(made, f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
+    got = spark.read.schema(made.schema).parquet(f"{tmp_path}/out")
+    assert got.columns == ["bucket", *stream.columns] and made.schema["at"].dataType == stream.schema["at"].dataType
+    want = spark.createDataFrame([data[1], data[2]], schema).select(F.lit(at(first)).alias("bucket"), "*")
+    assert rows(got) == rows(want)

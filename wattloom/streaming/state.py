@@ -27,7 +27,9 @@ STAMPS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 class LastOfBuckets(StatefulProcessor):
-    """Newest row of each open bucket of a device; a bucket comes out, and its state goes, once the watermark has passed its end."""
+    """Newest row of each open bucket of a device; a bucket comes out, and its state goes, once the watermark has passed its end.
+
+    The processor of an earlier :func:`last_per_bucket`, which aggregates now; for streams that want a device's open buckets under one key."""
 
     def __init__(self, width_us: int) -> None:
         self.width_us = width_us
@@ -110,8 +112,17 @@ def _run(stream: DataFrame, device: str, ts: str, late: str, bucket, processor:
 
 
 def last_per_bucket(stream: DataFrame, device: str, ts: str = "timestamp", late: str = "10 minutes", width_us: int = QUARTER_US) -> DataFrame:
-    """Last reading of each (bucket, device) with its ``bucket``, once the bucket can't change any more. Readings without device or time are left out."""
-    out = _run(stream, device, ts, late, micros(bucket_start(F.col(ts), width_us)), LastOfBuckets(width_us))
+    """Last reading of each (bucket, device) with its ``bucket``, once the bucket can't change any more. Readings without device or time are left out.
+
+    State is the newest row of each open bucket. An aggregation keeps it, not a processor: that one is called for every bucket that opens or
+    closes and asks the store over a socket, in Python. A reading counts as long as its bucket is open, however late it is.
+    """
+    rows = stream.filter(F.col(device).isNotNull() & F.col(ts).isNotNull()).select(
+        F.col(device).cast("string").alias("device"), F.col(ts).cast("timestamp").alias("at"),
+        F.struct(micros(F.col(ts)), F.xxhash64(*stream.columns)).alias("place"), F.struct(*stream.columns).alias("r"),
+    )
+    open_buckets = rows.withWatermark("at", late).groupBy(F.window("at", f"{width_us} microseconds"), "device")
+    out = open_buckets.agg(F.max_by("r", "place").alias("r")).select("r.*")
     return out.select(bucket_start(F.col(ts), width_us).alias("bucket"), *stream.columns)
 
 
