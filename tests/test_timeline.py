@@ -4,9 +4,13 @@ import itertools
 import random
 from datetime import datetime, timedelta
 
+import duckdb
 import pytest
+from check import differences
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
+from wattloom.functions.keys import composite_key
 from wattloom.operators import late_changes, scd2
 from wattloom.operators.timeline import as_of, neighbours
 from wattloom.schemas import no_rows
@@ -131,3 +135,53 @@ def test_a_record_begins_with_the_dimension(spark, rows, tmp_path):
     dim = load_all(spark, [[(1, 5, "a", hours(0)), (1, 7, "a", hours(20)), (2, 5, "b", hours(3))]], tmp_path)
     again = late_changes.versions_of(late_changes.changes_of(dim, "device_key"), ["device_id"], ["rating"])
     assert rows(again, *dim.columns[1:]) == rows(dim, *dim.columns[1:])
+
+
+def test_late_spans_of_ids_that_leave_a_bigint_no_room_for_seconds(spark, tmp_path):
+    con = duckdb.connect()
+    con.sql(f"""COPY (SELECT i AS event_id, TIMESTAMP '2024-01-01 00:00:30' + INTERVAL (i * 53 % 7200) MINUTE AS ts, CASE WHEN i % 5 = 0 THEN 2147483647 ELSE 92232 + i % 5 END AS user_id,
+      'view' AS event_type, i / 4 AS value, '{{"k": ' || i * 37 % 100 || '}}' AS props FROM range(400) AS r(i)) TO '{tmp_path}/events.parquet'""")
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    want = con.sql(contract.oracle_sql()["scd2_late_spans"]).df()
+    assert len(want) == 5 and differences(contract.queries()["scd2_late_spans"](spark, str(tmp_path)).toPandas(), want) == []
+
+
+def test_wide_keys_are_the_narrow_ones_without_their_limit(spark):
+    ids = spark.createDataFrame([(0,), (92_232,), (92_234,), (2**63 - 1,), (None,)], "id BIGINT").withColumn("at", F.lit(T0))
+    made = ids.select(composite_key(F.col("id"), F.col("at"), "second", wide=True).alias("k")).collect()
+    assert [r.k for r in made] == [None if i is None else i * 10**14 + 20240101000000 for i in (0, 92_232, 92_234, 2**63 - 1, None)]
+    with pytest.raises(Exception, match="OVERFLOW"):  # a BIGINT key never wraps around
+        ids.select(composite_key(F.col("id"), F.col("at"), "second")).collect()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_moved_spans_equal_brute_force(spark, rows, seed):
+    rnd = random.Random(seed)
+
+    def side():
+        versions = [(None, hours(0), None, 1), (9, None, hours(5), 2)]
+        for k in range(8):
+            cuts = sorted(rnd.sample(range(0, 120, 3), rnd.randint(1, 12)))
+            for a, b in zip(cuts, [*cuts[1:], None], strict=True):
+                versions.append((k, hours(a), hours(b if rnd.random() < 0.8 else a + 1), rnd.choice([None, *range(4)])))
+                versions += [(k, hours(a), hours(a), 7)] * (rnd.random() < 0.2)
+        return versions
+
+    before, after = side(), side()
+    same = [v for v in before if v[0] in (0, 1)]  # keys that stay as they are
+    after = [v for v in after if v[0] not in (0, 1)] + same
+
+    def valid(versions, at):
+        own = max((v for v in versions if v[1] is not None and v[1] <= at), key=lambda v: (v[1], v[2] is None, v[2] or T0, v[3] is not None, v[3] or 0), default=None)
+        return own[3] if own and (own[2] is None or at < own[2]) else None
+
+    want = []
+    for k in range(2, 10):
+        old, new = ([v for v in versions if v[0] == k] for versions in (before, after))
+        cuts = sorted({t for v in [*old, *new] for t in v[1:3] if t is not None})
+        for a, b in itertools.zip_longest(cuts, cuts[1:]):
+            if valid(old, a) != valid(new, a):
+                want.append((k, a, b, valid(old, a), valid(new, a)))
+    schema = "device_id INT, start_date TIMESTAMP, end_date TIMESTAMP, device_key INT"
+    spans = late_changes.moved_spans(*(spark.createDataFrame(d, schema) for d in (before, after)), ["device_id"], "device_key")
+    assert len(want) > 5 and rows(spans, "device_id", "from", "to", "old_key", "new_key") == sorted(want, key=repr)

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Resolution of a composite key: date pattern and the factor that makes room for its digits.
-# Seconds leave 5 digits for the id (up to 92,232), days leave 11.
+# In a BIGINT seconds leave 5 digits for the id (up to 92,232), days leave 11; a wide key has room for every BIGINT id.
 RESOLUTIONS = {"day": ("yyyyMMdd", 10**8), "second": ("yyyyMMddHHmmss", 10**14)}
 
 
-def composite_key(entity_id: Column, at: Column, resolution: str = "day") -> Column:
-    """Id followed by the digits of a date, as BIGINT (an INT overflows from id 22 on)."""
+def composite_key(entity_id: Column, at: Column, resolution: str = "day", wide: bool = False) -> Column:
+    """Id followed by the digits of a date, as BIGINT (an INT overflows from id 22 on), or ``wide`` as a DECIMAL that no BIGINT id overflows."""
     pattern, factor = RESOLUTIONS[resolution]
-    return entity_id.cast("bigint") * F.lit(factor) + F.date_format(at, pattern).cast("bigint")
+    digits = F.date_format(at, pattern).cast("bigint")
+    if wide:
+        return entity_id.cast("bigint").cast("decimal(19,0)") * F.lit(Decimal(factor)) + digits
+    return entity_id.cast("bigint") * F.lit(factor) + digits
 
 
 def device_id_from_name(name: Column) -> Column:

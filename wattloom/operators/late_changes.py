@@ -61,13 +61,19 @@ def moved_spans(before: DataFrame, after: DataFrame, business_key: list[str], ke
     The starts and ends of both versions of the dimension cut each key's time; a stretch counts where the keys valid in it differ.
     """
     sides = [d.select(*business_key, START, END, key) for d in (before, after)]
-    changed = sides[0].exceptAll(sides[1]).union(sides[1].exceptAll(sides[0])).select(*business_key).distinct()
-    sides = [d.join(changed, business_key, "left_semi") for d in sides]
-    ends = [d.select(*business_key, F.explode(F.array_compact(F.array(START, END))).alias("from")) for d in sides]
-    cuts = ends[0].union(ends[1]).distinct()
-    cuts = timeline.neighbours(cuts.withColumn("_one", F.lit(1)), business_key, "from", "_one").drop("_before", "_one")
-    on = {c: c for c in business_key}
-    for side, name in zip(sides, ("old_key", "new_key"), strict=True):
-        cuts = timeline.as_of(cuts, side.withColumnRenamed(key, name), on, "from", START, END, [name])
-    moved = cuts.filter(~F.col("old_key").eqNullSafe(F.col("new_key")))
+    net = sides[0].withColumn("_n", F.lit(1)).union(sides[1].withColumn("_n", F.lit(-1)))
+    differ = net.groupBy(*business_key, START, END, key).agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+    changed = differ.select(*business_key).distinct()
+    # As in an as-of join, of versions with one start the one of the latest end counts, then the larger key.
+    version = F.struct(F.col(END).isNull().alias("open"), F.col(END).cast("timestamp").alias("until"), F.col(key).alias("key"))
+    names = ["old_key", "new_key"]
+    ends = [
+        d.join(changed, business_key, "left_semi").select(*business_key, version.alias("_version"), F.posexplode(F.array(START, END)).alias("_end", "from"))
+        .dropna(subset="from").select(*business_key, "from", F.when(F.col("_end") == 0, F.col("_version")).alias(name))
+        for d, name in zip(sides, names, strict=True)
+    ]
+    cuts = timeline.carried(ends[0].unionByName(ends[1], allowMissingColumns=True), business_key, "from", names)
+    valid = lambda v: F.when(v["until"].isNull() | (F.col("from").cast("timestamp") < v["until"]), v["key"])
+    found = cuts.withColumns({name: valid(F.col(name)) for name in names})
+    moved = found.filter(~F.col("old_key").eqNullSafe(F.col("new_key")))
     return moved.select(*business_key, "from", F.col("_next").alias("to"), "old_key", "new_key")

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattloom.functions.keys import composite_key, next_key
 from wattloom.functions.predicates import changed
@@ -24,14 +25,18 @@ OPENED = "_opened"
 
 @dataclass(frozen=True)
 class CompositeKey:
-    """Business id followed by the digits of the start date. A column expression: no shuffle."""
+    """Business id followed by the digits of the start date. A column expression: no shuffle. A dimension whose key is a DECIMAL gets wide keys,
+    for business ids that leave a BIGINT no room for the date."""
 
     key: str
     business_id: str
     resolution: str = "day"
 
     def fill(self, dim: DataFrame, rows: DataFrame) -> DataFrame:
-        made = composite_key(F.col(self.business_id), F.col(START), self.resolution)
+        kind = dim.schema[self.key].dataType
+        wide = isinstance(kind, T.DecimalType)
+        made = composite_key(F.col(self.business_id), F.col(START), self.resolution, wide)
+        made = made.cast(kind) if wide else made
         return rows.withColumn(self.key, F.when(F.col(OPENED), made).otherwise(F.col(self.key)))
 
 

@@ -62,6 +62,26 @@ def neighbours(rows: DataFrame, by: list[str], at: str, value: str, chunk_us: in
     return out.withColumns({"_before": F.coalesce("_before", "_from"), "_next": F.coalesce("_next", "_to")}).drop("_from", "_to", _CHUNK)
 
 
+def carried(points: DataFrame, by: list[str], at: str, values: list[str], chunk_us: int = DAY_US) -> DataFrame:
+    """One row per series and time of ``points``: each of the ``values`` as it was last said up to then, and ``_next``, the time behind.
+
+    NULL says nothing; of several values of one time the largest counts. Points are shuffled once; beyond that only the edges of
+    chunks are.
+    """
+    key, names = [*by, _CHUNK], range(len(values))
+    said = _placed(points, at, chunk_us).repartition(*key).groupBy(*key, at).agg(*(F.max(v).alias(v) for v in values))
+    edges = said.groupBy(*key).agg(F.min(at).alias("_head"), *(F.max_by(v, F.when(F.col(v).isNotNull(), F.col(at))).alias(f"_last{i}") for i, v in enumerate(values)))
+    chunks = Window.partitionBy(*by).orderBy(_CHUNK)
+    before = chunks.rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.select(*key, F.lead("_head").over(chunks).alias("_to"), *(F.last(f"_last{i}", ignorenulls=True).over(before).alias(f"_from{i}") for i in names))
+    inside = Window.partitionBy(*key).orderBy(at)
+    here = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = said.withColumns({"_next": F.lead(at).over(inside), **{v: F.last(v, ignorenulls=True).over(here) for v in values}})
+    out = _with_edges(local, edges, key)
+    known = {v: F.coalesce(v, f"_from{i}") for i, v in enumerate(values)}
+    return out.withColumns({"_next": F.coalesce("_next", "_to"), **known}).drop("_to", *(f"_from{i}" for i in names), _CHUNK)
+
+
 def as_of(
     left: DataFrame, versions: DataFrame, on: dict[str, str], ts: str, start: str, end: str, cols: list[str],
     from_start: bool = False, chunk_us: int = DAY_US,

@@ -51,7 +51,7 @@ CHANGES = """changes AS (
 DERIVED = """met AS (SELECT *, lag(rating) OVER w AS was, row_number() OVER w AS n FROM changes WINDOW w AS (PARTITION BY device_id ORDER BY effective)),
 opened AS (SELECT * FROM met WHERE n = 1 OR rating IS DISTINCT FROM was),
 ended AS (SELECT device_id, rating, effective AS start_date, lead(effective) OVER (PARTITION BY device_id ORDER BY effective) AS end_date FROM opened)"""
-DIMENSION = "device_key BIGINT, device_id INT, rating STRING, start_date TIMESTAMP, end_date TIMESTAMP, current_flag BOOLEAN"
+DIMENSION = "device_key {}, device_id INT, rating STRING, start_date TIMESTAMP, end_date TIMESTAMP, current_flag BOOLEAN"
 LATE_KEY = scd2.CompositeKey("device_key", "device_id", "second")
 
 
@@ -61,11 +61,11 @@ def rated(t: Tables) -> DataFrame:
     return hour.agg(F.max(F.when(k < 33, "low").when(k < 66, "middle")).alias("rating"))
 
 
-def in_loads(t: Tables, order: list[int]) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Loads by the hour of the change, and the dimension after each."""
+def in_loads(t: Tables, order: list[int], key: str = "BIGINT") -> tuple[list[DataFrame], list[DataFrame]]:
+    """Loads by the hour of the change, and the dimension after each. ``key``: type of the surrogate key."""
     changes = t.stored(rated(t), "changes")
     loads = [changes.filter(F.hour("effective") % 3 == n) for n in order]
-    dims = [no_rows(t.spark, t.spark.createDataFrame([], DIMENSION).schema)]
+    dims = [no_rows(t.spark, t.spark.createDataFrame([], DIMENSION.format(key)).schema)]
     for n, load in enumerate(loads):
         record = reduce(DataFrame.unionByName, loads[:n]) if n else no_rows(t.spark, load.schema)
         dims.append(t.stored(late(dims[-1], record, load), "dimension"))
@@ -92,7 +92,7 @@ keyed AS (SELECT h.device_id, h.h, o.start_date AS old_start, n.start_date AS ne
 SELECT device_id, count(*) AS hours FROM keyed WHERE old_start IS DISTINCT FROM new_start GROUP BY device_id""")
 def scd2_late_spans(t: Tables) -> DataFrame:
     """Hours with readings whose facts need another key after the last load."""
-    loads, dims = in_loads(t, [2, 0, 1])
+    loads, dims = in_loads(t, [2, 0, 1], "DECIMAL(24, 0)")  # any INT and 14 digits of the start
     spans = late_changes.moved_spans(dims[2], dims[3], ["device_id"], "device_key")
     spans = t.stored(spans, "spans")
     hours = rated(t).select("device_id", F.col("effective").alias("h"))
